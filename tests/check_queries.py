@@ -83,6 +83,9 @@ def main(argv: list[str]) -> int:
     sf_dir = f"{DATA}/sf{sf}"
     queries, oracles = entry.queries(), entry.oracle_sql()
     names = argv[1:] or list(queries)
+    if names and names[0].startswith("from:"):
+        order = list(queries)
+        names = order[order.index(names[0][5:]) :]
     spark, db, bad = session(), connect(sf_dir), 0
     for name in names:
         t = time.time()
