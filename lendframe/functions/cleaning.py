@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNKNOWN = "Unknown"
+_BLANKS = " \t\n\r\f\v"
 
 
 def emp_length_text(c: Column) -> Column:
     """Years of employment as text "0".."10", or "Unknown" when the first word is no whole number."""
-    text = F.trim(F.regexp_replace(c, r"\s+", " "))
-    years = F.element_at(F.split(text, " "), 1).try_cast("bigint").cast("string")
+    text = F.btrim(c, F.lit(_BLANKS))
+    years = F.regexp_extract(c, r"^\s*([+-]?\d+)(?:\s|$)", 1).try_cast("bigint").cast("string")
     return (
         F.when(text == "10+ years", "10")
         .when(text == "< 1 year", "0")

@@ -7,41 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendframe.operators.ranking import quantiles_of, value_histogram
+from lendframe.operators.ranking import binned, quantile_cuts
 from lendframe.schema import DRIFT_ALERT
 
 # Fixed value: smallest share used in the index, so that an empty bin stays finite.
 FLOOR = 1e-6
-
-
-def _cells(df: DataFrame, texts: Sequence[str], numbers: Sequence[str], cuts: DataFrame | None, name: str) -> DataFrame:
-    """(feature, bin, <name>) counts; NULL is a bin of its own."""
-    parts = []
-    if texts:
-        long = df.select(*[F.col(c).cast("string").alias(c) for c in texts]).unpivot(
-            [], list(texts), "feature", "bin"
-        )
-        parts.append(long.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
-    if numbers:
-        long = (
-            df.select(*[F.col(c).cast("double").alias(c) for c in numbers])
-            .unpivot([], list(numbers), "feature", "value")
-            .groupBy("feature", "value")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        place = F.when(
-            F.col("value").isNotNull(), F.size(F.filter("_cuts", lambda c: c < F.col("value")))
-        ).cast("string")
-        parts.append(
-            long.join(F.broadcast(cuts), "feature")
-            .select("feature", place.alias("bin"), "n")
-            .groupBy("feature", "bin")
-            .agg(F.sum("n").alias("n"))
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("feature", F.coalesce("bin", F.lit("(missing)")).alias("bin"), F.col("n").alias(name))
+MISSING = "(missing)"
 
 
 def stability_index(
@@ -52,27 +23,33 @@ def stability_index(
     bins: int = 10,
     alert: float = DRIFT_ALERT,
 ) -> DataFrame:
-    """(feature, psi, alert): numbers are cut at the quantiles of `expected`."""
-    cuts = None
-    if numbers:
-        cuts = quantiles_of(
-            value_histogram(expected, numbers), [i / bins for i in range(1, bins)]
-        ).select(
-            F.col("column").alias("feature"),
-            F.array(*[f"q{i}" for i in range(bins - 1)]).alias("_cuts"),
+    """(feature, psi, alert): sum over bins of (q - p) ln(q / p).
+
+    Numbers are cut at the quantiles of `expected`; NULL is a bin of its own. Both tables are counted
+    in one aggregate; every row has one bin per feature, so the shares need only the two row counts.
+    """
+
+    def side(df: DataFrame, is_actual: bool) -> DataFrame:
+        return df.select(F.lit(is_actual).alias("_actual"), *texts, *numbers)
+
+    rows = side(expected, False).unionByName(side(actual, True))
+    cuts = quantile_cuts(expected, numbers, bins) if numbers else None
+    cells = (
+        binned(rows, ["_actual"], texts, numbers, cuts, bins)
+        .groupBy("feature", F.coalesce("bin", F.lit(MISSING)).alias("bin"))
+        .agg(
+            F.count_if(~F.col("_actual")).cast("double").alias("e"),
+            F.count_if(F.col("_actual")).cast("double").alias("a"),
         )
-    cells = _cells(expected, texts, numbers, cuts, "e").join(
-        _cells(actual, texts, numbers, cuts, "a"), ["feature", "bin"], "full"
     )
-    cells = cells.select("feature", "bin", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("e", "a")])
-    totals = cells.groupBy("feature").agg(F.sum("e").alias("_e"), F.sum("a").alias("_a"))
-    floor = F.lit(FLOOR)
-    p = F.greatest(F.try_divide(F.col("e").cast("double"), F.col("_e")), floor)
-    q = F.greatest(F.try_divide(F.col("a").cast("double"), F.col("_a")), floor)
-    psi = F.sum((q - p) * F.ln(q / p))
+    count = F.count(F.lit(1)).cast("double")
+    cells = cells.withColumns(
+        {"_e": expected.agg(count).scalar(), "_a": actual.agg(count).scalar()}
+    )
+    p = F.greatest(F.try_divide("e", "_e"), F.lit(FLOOR))
+    q = F.greatest(F.try_divide("a", "_a"), F.lit(FLOOR))
     return (
-        cells.join(F.broadcast(totals), "feature")
-        .groupBy("feature")
-        .agg(psi.alias("psi"))
+        cells.groupBy("feature")
+        .agg(F.sum((q - p) * F.ln(q / p)).alias("psi"))
         .withColumn("alert", F.col("psi") > alert)
     )

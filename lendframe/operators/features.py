@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lendframe.functions import ratios
 from lendframe.operators.prepare import DEFAULT_YEAR
 from lendframe.operators.profile import text_columns
-from lendframe.operators.ranking import quantiles_of, value_histogram
+from lendframe.operators.ranking import binned, number, quantile_cuts
 
 
 @dataclass(frozen=True)
@@ -128,60 +128,43 @@ def default_registry(as_of_year: int = DEFAULT_YEAR) -> FeatureRegistry:
     )
 
 
-def _information(cells: DataFrame) -> DataFrame:
-    """(feature, importance) from (feature, bin, label, n): plug-in mutual information in nats."""
-    rows = cells.groupBy("feature").agg(F.sum("n").alias("_t"))
-    by_bin = cells.groupBy("feature", "bin").agg(F.sum("n").alias("_b"))
-    by_label = cells.groupBy("feature", "label").agg(F.sum("n").alias("_l"))
-    n, t, b, y = (F.col(c).cast("double") for c in ("n", "_t", "_b", "_l"))
-    term = (n / t) * F.ln((n * t) / (b * y))
-    return (
-        cells.join(F.broadcast(rows), "feature")
-        .join(by_bin, ["feature", "bin"])
-        .join(F.broadcast(by_label), ["feature", "label"])
-        .groupBy("feature")
-        .agg(F.sum(term).alias("importance"))
-    )
-
-
 def mutual_information(
     df: DataFrame, label: str, texts: Sequence[str] = (), numbers: Sequence[str] = (), bins: int = 10
 ) -> DataFrame:
-    """(feature, importance): information each feature carries about the label, strongest first.
+    """(feature, importance): information in nats each feature carries about a 0/1 label, strongest first.
 
     Texts use their values as bins; numbers are cut at their exact quantiles, and a missing number
-    counts as 0. Rows without a label are left out.
+    counts as 0. Rows without a label are left out. The sum over cells only needs the totals of
+    n ln n, so one aggregate per level is enough and nothing is joined.
     """
-    rows = df.filter(F.col(label).isNotNull())
-    parts = []
-    if texts:
-        long = rows.select(F.col(label).alias("label"), *[F.col(c).cast("string").alias(c) for c in texts])
-        parts.append(long.unpivot(["label"], list(texts), "feature", "bin"))
-    if numbers:
-        filled = rows.select(
-            F.col(label).alias("label"),
-            *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in numbers],
-        )
-        cuts = quantiles_of(value_histogram(filled, numbers), [i / bins for i in range(1, bins)])
-        cuts = cuts.select(
-            F.col("column").alias("feature"), F.array(*[f"q{i}" for i in range(bins - 1)]).alias("_cuts")
-        )
-        long = filled.unpivot(["label"], list(numbers), "feature", "value")
-        # Values are counted before they are placed, so each distinct value is placed once.
-        counted = long.groupBy("feature", "value", "label").agg(F.count(F.lit(1)).alias("n"))
-        place = F.size(F.filter("_cuts", lambda c: c < F.col("value"))).cast("string")
-        placed = counted.join(F.broadcast(cuts), "feature").select(
-            "feature", place.alias("bin"), "label", "n"
-        )
-        parts.append(placed)
-    cells = None
-    for p in parts:
-        weight = F.sum("n") if "n" in p.columns else F.count(F.lit(1))
-        part = p.withColumn("bin", F.coalesce("bin", F.lit("\0"))).groupBy("feature", "bin", "label").agg(
-            weight.alias("n")
+    rows = df.filter(F.col(label).isNotNull()).withColumns(
+        {
+            **{c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in texts},
+            **{c: F.coalesce(number(c), F.lit(0.0)) for c in numbers},
+        }
+    )
+    cuts = quantile_cuts(rows, numbers, bins) if numbers else None
+    cells = (
+        binned(rows, [label], texts, numbers, cuts, bins)
+        .groupBy("feature", "bin")
+        .agg(
+            F.count_if(F.col(label) == 1).cast("double").alias("n1"),
+            F.count_if(F.col(label) == 0).cast("double").alias("n0"),
         )
-        cells = part if cells is None else cells.unionByName(part)
-    return _information(cells).orderBy(F.desc("importance"), "feature")
+    )
+
+    def n_ln_n(n: Column) -> Column:
+        return F.when(n > 0, n * F.ln(n)).otherwise(F.lit(0.0))
+
+    n1, n0 = F.col("n1"), F.col("n0")
+    inner = cells.groupBy("feature").agg(
+        F.sum(n_ln_n(n1) + n_ln_n(n0) - n_ln_n(n1 + n0)).alias("s"),
+        F.sum("n1").alias("n1"),
+        F.sum("n0").alias("n0"),
+    )
+    total = n1 + n0
+    gain = F.try_divide(F.col("s") - n_ln_n(n1) - n_ln_n(n0) + n_ln_n(total), total)
+    return inner.select("feature", gain.alias("importance")).orderBy(F.desc("importance"), "feature")
 
 
 def select_features(

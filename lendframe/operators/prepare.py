@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lendframe.functions import cleaning, ratios
 from lendframe.operators.lookup import attach
-from lendframe.operators.ranking import fitted_quantiles
+from lendframe.operators.ranking import exact_quantiles
 from lendframe.schema import (
     DROPPED,
     ETL_DROPPED,
@@ -29,8 +29,23 @@ from lendframe.schema import (
 from lendframe.session import local_copy, materialise
 
 DEFAULT_YEAR = 2025
-# Raw columns that must be present in a row the library rules keep, selected or not.
-_KEPT = ["loan_amnt", "installment", "open_acc", "total_acc"]
+# Columns that may not be missing in a kept row once medians are filled in. The
+# amounts are not results themselves, but a result derived from them would be missing.
+_PLAIN = [
+    "loan_amnt",
+    "term",
+    "int_rate",
+    "installment",
+    "grade",
+    "home_ownership",
+    "verification_status",
+    "purpose",
+    "dti",
+    "open_acc",
+    "revol_util",
+    "initial_list_status",
+    "mort_acc",
+]
 
 
 def drop_unwanted(df: DataFrame, columns: Sequence[str] = DROPPED) -> DataFrame:
@@ -70,18 +85,6 @@ def median_histogram(df: DataFrame) -> DataFrame:
     )
 
 
-def group_medians(hist: DataFrame) -> DataFrame:
-    """(total_acc, median): every known key, NULL median where the whole group lacks a value."""
-    keyed = hist.filter((F.col("column") == "mort_acc") & F.col("key").isNotNull())
-    medians = fitted_quantiles(keyed.filter("value IS NOT NULL"), [0.5], ["key"])
-    return (
-        keyed.select("key")
-        .distinct()
-        .join(medians, "key", "left")
-        .select(F.col("key").alias("total_acc"), F.col("q0").alias("median"))
-    )
-
-
 def fill_mort_acc(
     df: DataFrame, medians: DataFrame, default: float | None, small: bool
 ) -> DataFrame:
@@ -99,16 +102,6 @@ def fill_medians(df: DataFrame, medians: dict[str, float | None], columns: Seque
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()})
 
 
-def derived(as_of_year: int) -> dict[str, Column]:
-    return {
-        "loan_to_income": ratios.loan_to_income(),
-        "total_interest_owed": ratios.total_interest_owed(),
-        "installment_to_income_ratio": ratios.installment_to_income_ratio(),
-        "active_credit_pct": ratios.active_credit_pct(),
-        "credit_age": ratios.credit_age(as_of_year),
-    }
-
-
 class PreparationModel(Model):
     """Fitted preparation; `transform` keeps the row key when the input has one."""
 
@@ -141,27 +134,56 @@ class PreparationModel(Model):
         df = fill_medians(df, self.medians, ["revol_util", "pub_rec_bankruptcies"])
         return df.fillna({"emp_length": cleaning.UNKNOWN}) if etl else df
 
-    def _derived_rows(self, df: DataFrame) -> DataFrame:
-        """All steps but the row filters, so that dropped rows can be reported too."""
+    def _filled(self, df: DataFrame) -> DataFrame:
+        return self.imputed(drop_unwanted(df, ETL_DROPPED if self.dialect == "etl" else DROPPED))
+
+    def _complete(self, df: DataFrame) -> dict[str, Column]:
+        """What a kept row must satisfy, by reason, over the filled but not yet derived columns.
+
+        "No NULL in any result column" is stated on the inputs, so the simple tests reach the scan
+        and no derived expression is evaluated twice for the filter.
+        """
+        present = set(df.columns)
+        checks = {"annual_inc not positive": F.col("annual_inc") > 0}
+        plain = [*_PLAIN, *([TARGET] if self.include_target else [])]
+        for c in plain:
+            if c in present:
+                checks[f"{c} missing"] = F.col(c).isNotNull()
+        if "total_acc" in present:
+            checks["total_acc not positive"] = F.col("total_acc") > 0
+        if "earliest_cr_line" in present:
+            date = cleaning.credit_line_date(F.col("earliest_cr_line"))
+            checks["earliest_cr_line unreadable"] = date.isNotNull()
+        if self.dialect == "etl":
+            if TARGET in present:
+                checks["loan_status not final"] = F.col(TARGET).isin(*TARGET_CODES)
+            if "emp_length" in present:
+                years = cleaning.emp_length_number(F.col("emp_length"))
+                checks["emp_length unreadable"] = years.isNotNull()
+        return checks
+
+    def _derive(self, df: DataFrame) -> DataFrame:
         etl = self.dialect == "etl"
-        df = self.imputed(drop_unwanted(df, ETL_DROPPED if etl else DROPPED))
         length = cleaning.emp_length_number if etl else cleaning.emp_length_text
         bankruptcies = cleaning.zero_one_more if etl else cleaning.bankruptcy_bin
-        return df.withColumns(
-            {
-                **derived(self.as_of_year),
-                "emp_length": length(F.col("emp_length")),
-                "pub_rec": cleaning.zero_one_more(F.col("pub_rec")),
-                "pub_rec_bankruptcies": bankruptcies(F.col("pub_rec_bankruptcies")),
-            }
-        )
-
-    def _needed(self, df: DataFrame) -> list[str]:
-        """Columns that may not be NULL in a kept row."""
-        named = [*PREPARED, *([] if self.dialect == "etl" else _KEPT)]
-        if self.include_target:
-            named.append(TARGET)
-        return [c for c in named if c in df.columns]
+        steps = {
+            "emp_length": (("emp_length",), length(F.col("emp_length"))),
+            "pub_rec": (("pub_rec",), cleaning.zero_one_more(F.col("pub_rec"))),
+            "pub_rec_bankruptcies": (
+                ("pub_rec_bankruptcies",),
+                bankruptcies(F.col("pub_rec_bankruptcies")),
+            ),
+            "loan_to_income": (("loan_amnt", "annual_inc"), ratios.loan_to_income()),
+            "total_interest_owed": (("loan_amnt", "int_rate"), ratios.total_interest_owed()),
+            "installment_to_income_ratio": (
+                ("installment", "annual_inc"),
+                ratios.installment_to_income_ratio(),
+            ),
+            "active_credit_pct": (("open_acc", "total_acc"), ratios.active_credit_pct()),
+            "credit_age": (("earliest_cr_line",), ratios.credit_age(self.as_of_year)),
+        }
+        present = set(df.columns)
+        return df.withColumns({n: e for n, (needs, e) in steps.items() if present.issuperset(needs)})
 
     def _selected(self, df: DataFrame) -> list[str]:
         names = [*PREPARED, *([TARGET] if self.include_target else [])]
@@ -171,21 +193,19 @@ class PreparationModel(Model):
         return [*([ID] if ID in df.columns else []), *[c for c in names if c in df.columns]]
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        if self.dialect == "etl":
-            dataset = valid_status(dataset) if TARGET in dataset.columns else dataset
-        rows = self._derived_rows(positive_income(dataset))
-        return rows.na.drop("any", subset=self._needed(rows)).select(*self._selected(rows))
+        rows = self._filled(dataset)
+        for ok in self._complete(rows).values():
+            rows = rows.filter(ok)
+        rows = self._derive(rows)
+        return rows.select(*self._selected(rows))
 
     def rejected(self, df: DataFrame) -> DataFrame:
         """(loan_id, reasons): rows `transform` leaves out, with every reason."""
-        rows = self._derived_rows(df)
+        rows = self._filled(df)
         checks = [
-            F.when(~F.coalesce(F.col("annual_inc") > 0, F.lit(False)), F.lit("annual_inc not positive"))
+            F.when(~F.coalesce(ok, F.lit(False)), F.lit(reason))
+            for reason, ok in self._complete(rows).items()
         ]
-        if self.dialect == "etl" and TARGET in rows.columns:
-            known = F.coalesce(F.col(TARGET).isin(*TARGET_CODES), F.lit(False))
-            checks.append(F.when(~known, F.lit("loan_status not final")))
-        checks += [F.when(F.col(c).isNull(), F.lit(f"{c} missing")) for c in self._needed(rows)]
         reasons = F.array_compact(F.array(*checks))
         return rows.select(ID, reasons.alias("reasons")).filter(F.size("reasons") > 0)
 
@@ -247,20 +267,37 @@ class PreparationEstimator(Estimator):
 
     @staticmethod
     def _keep(table: DataFrame, label: str) -> tuple[DataFrame, bool]:
+        """(table, small): a local relation when it is small, else files in the shared folder."""
         copy = local_copy(table)
         return (copy, True) if copy is not None else (materialise(table, label), False)
 
     def _fit_exact(self, rows: DataFrame) -> tuple[DataFrame, bool, dict[str, float | None]]:
-        hist = median_histogram(rows)
-        copy = local_copy(hist)
-        hist = copy if copy is not None else materialise(hist, "histogram")
-        groups, small = self._keep(group_medians(hist), "medians")
-        whole = (
-            hist.filter("value IS NOT NULL")
-            .groupBy("column", "value")
-            .agg(F.sum("n").alias("n"))
+        hist = local_copy(median_histogram(rows))
+        if hist is None:
+            return self._fit_large(rows)
+        half = F.percentile("value", 0.5, F.col("n"))
+        found = (
+            hist.groupingSets([["column", "key"], ["column"]], "column", "key")
+            .agg(half.alias("median"), F.grouping("key").alias("whole"))
+            .collect()
         )
-        found = fitted_quantiles(whole, [0.5]).collect()
+        medians = {r["column"]: r["median"] for r in found if r["whole"]}
+        known = [
+            (r["key"], r["median"])
+            for r in found
+            if not r["whole"] and r["column"] == "mort_acc" and r["key"] is not None
+        ]
+        groups = rows.sparkSession.createDataFrame(known, "total_acc double, median double")
+        return groups, True, medians
+
+    def _fit_large(self, rows: DataFrame) -> tuple[DataFrame, bool, dict[str, float | None]]:
+        """The same state when there are too many distinct values to finish from a local copy."""
+        filled = [c for c in MEDIAN_FILLED if c in rows.columns]
+        keyed = exact_quantiles(rows, ["mort_acc"], [0.5], ["total_acc"])
+        known = rows.filter("total_acc IS NOT NULL").select("total_acc").distinct()
+        table = known.join(keyed, "total_acc", "left").select("total_acc", F.col("q0").alias("median"))
+        groups, small = self._keep(table, "medians")
+        found = exact_quantiles(rows, filled, [0.5]).collect()
         return groups, small, {r["column"]: r["q0"] for r in found}
 
     def _fit_lower(self, rows: DataFrame) -> tuple[DataFrame, bool, dict[str, float | None]]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendframe.functions.cleaning import credit_line_date
-from lendframe.operators.ranking import quantiles_of, value_histogram
+from lendframe.operators.ranking import exact_quantiles, number
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -139,7 +139,7 @@ def summary_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             "max": lambda c: F.max(F.col(c).cast("double")),
         },
     )
-    q = quantiles_of(value_histogram(df, columns), [0.25, 0.5, 0.75]).select(
+    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
         "column", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75")
     )
     return moments.join(F.broadcast(q), "column", "left").select(
@@ -233,14 +233,13 @@ def target_correlation(df: DataFrame, columns: Sequence[str], label: str) -> Dat
 def box_stats(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """(by, column, n, q1, median, q3, low_whisker, high_whisker), outliers left out.
 
-    A whisker is the outermost value within 1.5 interquartile ranges of the box. It is read from the
-    same value counts as the quartiles.
+    A whisker is the outermost value within 1.5 interquartile ranges of the box. `by` must have few
+    distinct values: the box table is broadcast to the rows.
     """
-    hist = value_histogram(df, columns, [by])
-    q = quantiles_of(hist, [0.25, 0.5, 0.75], [by]).select(
+    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75], [by], bounded_groups=True).select(
         by,
         "column",
-        F.col("n").alias("rows"),
+        "n",
         F.col("q0").alias("q1"),
         F.col("q1").alias("median"),
         F.col("q2").alias("q3"),
@@ -248,13 +247,15 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     reach = (F.col("q3") - F.col("q1")) * F.lit(1.5)
     v = F.col("value")
     return (
-        hist.join(q, [by, "column"])
-        .groupBy(by, "column", "rows", "q1", "median", "q3")
+        df.select(by, *[number(c).alias(c) for c in columns])
+        .unpivot([by], list(columns), "column", "value")
+        .join(F.broadcast(q), [by, "column"])
+        .groupBy(by, "column")
         .agg(
+            *[F.first(c).alias(c) for c in ("n", "q1", "median", "q3")],
             F.min(F.when(v >= F.col("q1") - reach, v)).alias("low_whisker"),
             F.max(F.when(v <= F.col("q3") + reach, v)).alias("high_whisker"),
         )
-        .withColumnRenamed("rows", "n")
     )
 
 

@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendframe.session import local_copy, materialise
-
 RANGES = 64
 
 
@@ -80,12 +78,17 @@ def running_totals(
     )
 
 
+def number(c: str) -> Column:
+    """Column as double, NaN read as NULL."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
 def value_histogram(
     df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()
 ) -> DataFrame:
     """(groups..., column, value, n): counts of the non-NULL values of several numeric columns."""
     groups = list(groups)
-    long = df.select(*groups, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+    long = df.select(*groups, *[number(c).alias(c) for c in columns]).unpivot(
         groups, list(columns), "column", "value"
     )
     keep = F.col("value").isNotNull()
@@ -110,6 +113,13 @@ def quantiles_of(
     ranked = running_totals(
         hist, "value", ["n"], keys, bounded_groups=bounded_groups or not list(groups)
     )
+    return _picked(ranked, probabilities, keys, interpolate)
+
+
+def _picked(
+    ranked: DataFrame, probabilities: Sequence[float], keys: Sequence[str], interpolate: bool
+) -> DataFrame:
+    """Quantiles from running counts: the first value whose count passes the wanted rank."""
     picks: list[Column] = []
     for i, p in enumerate(probabilities):
         rank = F.lit(float(p)) * (F.col("n_total") - 1)
@@ -132,10 +142,67 @@ def exact_quantiles(
     groups: Sequence[str] = (),
     interpolate: bool = True,
     bounded_groups: bool = False,
+    accuracy: int = 10000,
 ) -> DataFrame:
-    """Exact quantiles of several columns in one pass; NULL values and NULL group keys are left out."""
-    hist = value_histogram(df, columns, groups)
-    return quantiles_of(hist, probabilities, groups, interpolate, bounded_groups)
+    """(groups..., column, n, q0, q1, ...): exact quantiles of several columns.
+
+    NULL and NaN values and NULL group keys are left out. Without groups, or with few of them
+    (`bounded_groups`), the table is read twice and almost nothing is shuffled: mergeable summaries
+    first give, for each probability, a narrow bracket that holds its rank; the second read counts
+    single values inside the brackets only and keeps count, minimum and maximum of everything
+    between them. About 4 / accuracy of the rows per probability reach the ordering step.
+
+    With an unknown number of groups the value counts of `value_histogram` are ranked instead.
+    """
+    groups = list(groups)
+    if groups and not bounded_groups:
+        hist = value_histogram(df, columns, groups)
+        return quantiles_of(hist, probabilities, groups, interpolate)
+    clean = df.select(*groups, *[number(c).alias(c) for c in columns])
+    for g in groups:
+        clean = clean.filter(F.col(g).isNotNull())
+    slack = 2.0 / accuracy
+    wanted = [x for p in probabilities for x in (max(p - slack, 0.0), min(p + slack, 1.0))]
+    sketch = [F.percentile_approx(c, wanted, accuracy).alias(c) for c in columns]
+    bounds = (
+        clean.groupBy(*groups)
+        .agg(*sketch)
+        .unpivot(groups, list(columns), "column", "_e")
+        .select(*groups, "column", *[F.col("_e")[i].alias(f"_e{i}") for i in range(len(wanted))])
+    )
+    v = F.col("v")
+    inside, slot = F.lit(False), F.lit(0)
+    for i in range(0, len(wanted), 2):
+        low, high = F.col(f"_e{i}"), F.col(f"_e{i + 1}")
+        inside = inside | ((v >= low) & (v <= high))
+        slot = slot + (v > low).cast("int") + (v > high).cast("int")
+    counted = (
+        clean.unpivot(groups, list(columns), "column", "v")
+        .filter(v.isNotNull())
+        .join(F.broadcast(bounds), [*groups, "column"])
+        .select(*groups, "column", "v", inside.alias("_in"), slot.alias("_slot"))
+        .groupBy(
+            *groups,
+            "column",
+            F.when(F.col("_in"), v).alias("inner"),
+            F.when(~F.col("_in"), F.col("_slot")).alias("slot"),
+        )
+        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    )
+    # A stretch between brackets is only ever entered at its first or last value.
+    split = F.col("slot").isNotNull() & (F.col("n") > 1)
+    one = F.lit(1).cast("bigint")
+    first = F.struct(F.col("lo").alias("value"), F.when(split, F.col("n") - 1).otherwise(F.col("n")).alias("n"))
+    last = F.struct(F.col("hi").alias("value"), one.alias("n"))
+    steps = counted.select(
+        *groups, "column", F.explode(F.when(split, F.array(first, last)).otherwise(F.array(first))).alias("s")
+    ).select(*groups, "column", "s.value", "s.n")
+    whole = Window.partitionBy(*groups, "column")
+    upto = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = steps.select(
+        "*", F.sum("n").over(upto).alias("n_upto"), F.sum("n").over(whole).alias("n_total")
+    )
+    return _picked(ranked, probabilities, [*groups, "column"], interpolate)
 
 
 def approx_quantiles(
@@ -160,22 +227,35 @@ def approx_quantiles(
     )
 
 
-def fitted_quantiles(
-    hist: DataFrame, probabilities: Sequence[float], groups: Sequence[str] = ()
-) -> DataFrame:
-    """`quantiles_of`, evaluated now, with as little work as the histogram allows.
+def quantile_cuts(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
+    """(feature, cut1, cut2, ...): the bins - 1 exact quantiles that cut each column into equal shares."""
+    found = exact_quantiles(df, columns, [i / bins for i in range(1, bins)])
+    return found.select(
+        F.col("column").alias("feature"), *[F.col(f"q{i - 1}").alias(f"cut{i}") for i in range(1, bins)]
+    )
 
-    A histogram of at most `LOOKUP_ROWS` rows is finished from a local copy; a larger one is written
-    to the shared folder and finished in parallel.
-    """
-    copy = local_copy(hist)
-    if copy is None:
-        return quantiles_of(materialise(hist, "histogram"), probabilities, groups)
-    picked = F.percentile("value", [float(p) for p in probabilities], F.col("n"))
-    return (
-        copy.groupBy(*groups, "column")
-        .agg(F.sum("n").alias("n"), picked.alias("_q"))
-        .select(
-            *groups, "column", "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probabilities))]
+
+def binned(
+    df: DataFrame,
+    keep: Sequence[str],
+    texts: Sequence[str],
+    numbers: Sequence[str],
+    cuts: DataFrame | None,
+    bins: int,
+) -> DataFrame:
+    """(keep..., feature, bin): texts are their own bins, numbers count the cuts below them."""
+    keep = list(keep)
+    parts = []
+    if texts:
+        wide = df.select(*keep, *[F.col(c).cast("string").alias(c) for c in texts])
+        parts.append(wide.unpivot(keep, list(texts), "feature", "bin"))
+    if numbers:
+        below = F.lit(0)
+        for i in range(1, bins):
+            below = below + (F.col("value") > F.col(f"cut{i}")).cast("int")
+        long = df.select(*keep, *[number(c).alias(c) for c in numbers]).unpivot(
+            keep, list(numbers), "feature", "value"
         )
-    )
+        placed = long.join(F.broadcast(cuts), "feature", "left")
+        parts.append(placed.select(*keep, "feature", below.cast("string").alias("bin")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

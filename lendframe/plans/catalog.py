@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lendframe.plans.loans import loans_sql
+from lendframe.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,7 +130,10 @@ def query(name: str, sql: str | None = None, parts: tuple[str, ...] = ("loans",)
     """Register a query; `sql` is its checking text over `parts`."""
 
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(tune(spark), sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = with_parts(sql, *parts) if parts else sql
         return fn

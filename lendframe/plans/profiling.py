@@ -496,7 +496,7 @@ _TEXT_CELLS = " UNION ALL ".join(
 )
 _NUMBER_CELLS = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST(len(list_filter((SELECT quantile_cont({c}, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) "
-    f"FROM prepared WHERE loan_status <> 'Current'), x -> x < {c})) AS VARCHAR) AS bin, {_LABEL_SQL} AS label "
+    f"FROM prepared WHERE loan_status <> 'Current'), lambda x: x < {c})) AS VARCHAR) AS bin, {_LABEL_SQL} AS label "
     "FROM prepared WHERE loan_status <> 'Current'"
     for c in NUMERIC
 )
@@ -516,7 +516,7 @@ def mutual_information_numeric(spark, sf_dir):
 
 @query(
     "select_top_features",
-    "SELECT loan_id, grade, purpose, int_rate FROM prepared",
+    "SELECT loan_id, credit_age, dti, pub_rec_bankruptcies FROM prepared",
     PREPARED_PARTS,
 )
 def select_top_features(spark, sf_dir):
@@ -535,7 +535,7 @@ def _drift_cells(where: str, name: str) -> str:
     ]
     numbers = [
         f"SELECT '{c}' AS feature, coalesce(CAST(len(list_filter((SELECT quantile_cont({c}, "
-        f"[0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) FROM loans WHERE {_OLD}), x -> x < {c})) AS VARCHAR), '(missing)') "
+        f"[0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) FROM loans WHERE {_OLD}), lambda x: x < {c})) AS VARCHAR), '(missing)') "
         f"AS bin FROM loans WHERE {where} AND {c} IS NOT NULL UNION ALL "
         f"SELECT '{c}', '(missing)' FROM loans WHERE {where} AND {c} IS NULL"
         for c in _DRIFT_NUMBERS

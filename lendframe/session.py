@@ -10,6 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 # A lookup up to this many rows is kept as a local relation and may be broadcast.
 LOOKUP_ROWS = 50_000
 
+# The JVM never compiles methods above 8,000 bytes of bytecode. Wide loan expressions pass that, so
+# such stages run better without whole-stage generation than as one interpreted method.
+SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply `SETTINGS` where the session still has Spark's own default."""
+    defaults = {"spark.sql.codegen.hugeMethodLimit": "65535"}
+    for name, value in SETTINGS.items():
+        if spark.conf.get(name, defaults[name]) == defaults[name]:
+            spark.conf.set(name, value)
+    return spark
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the checkpoint folder the session names.
