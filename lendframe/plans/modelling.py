@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +20,7 @@ from lendframe.sources.io import list_files
 from lendframe.sources.lake import schema_inventory
 from lendframe.sources.registry import ModelRegistry, compare_versions, version_stages
 from lendframe.sources.store import FeatureStore
-from lendframe.session import work_path
+from lendframe.session import materialise, work_path
 
 # Small ensembles: the queries show the jobs, not the best model.
 QUICK = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0}
@@ -41,8 +40,8 @@ def _trained(spark: SparkSession, sf_dir: str, profile: str) -> tuple[train.Loan
 
 @lru_cache(maxsize=None)
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared loans, kept on executors while the model queries use them."""
-    return prepared(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    """Prepared loans as a written table, read by all model queries."""
+    return materialise(prepared(spark, sf_dir), "prepared")
 
 
 def model_of(spark: SparkSession, sf_dir: str, profile: str = "gbt") -> train.LoanModel:

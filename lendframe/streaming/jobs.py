@@ -40,6 +40,7 @@ def log_new_files(
     """
     files = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("recursiveFileLookup", True)
         .load(folder)
         .select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
