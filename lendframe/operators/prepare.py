@@ -67,20 +67,12 @@ def median_histogram(df: DataFrame) -> DataFrame:
     `mort_acc` is counted per `total_acc`; rows where it is missing stay, as proof that the key is
     known.
     """
-    nothing = F.lit(None).cast("double")
-    parts = [
-        F.struct(
-            (F.col("total_acc") if c == "mort_acc" else nothing).cast("double").alias("key"),
-            F.lit(c).alias("column"),
-            F.col(c).cast("double").alias("value"),
-        )
-        for c in MEDIAN_FILLED
-        if c in df.columns
-    ]
+    present = [c for c in MEDIAN_FILLED if c in df.columns]
+    key = F.when(F.col("column") == "mort_acc", F.col("total_acc"))
     return (
-        df.select(F.explode(F.array(*parts)).alias("p"))
-        .select("p.*")
-        .groupBy("key", "column", "value")
+        df.select(*[F.col(c).cast("double").alias(c) for c in ["total_acc", *present]])
+        .unpivot(["total_acc"], present, "column", "value")
+        .groupBy(key.alias("key"), "column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 

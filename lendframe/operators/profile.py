@@ -204,13 +204,26 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature_1, feature_2, correlation) for every unordered pair, each over its own complete rows."""
-    packed = [
-        F.struct(
-            F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), F.corr(a, b).alias("correlation")
+    names = list(columns)
+    pairs = ", ".join(
+        f"(`{a}`, `{b}`) AS `{i},{j}`"
+        for (i, a), (j, b) in combinations(enumerate(names), 2)
+    )
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in names])
+    long = df.sparkSession.sql(
+        f"SELECT * FROM {{wide}} UNPIVOT INCLUDE NULLS ((a, b) FOR pair IN ({pairs}))", wide=wide
+    )
+    listed = F.array(*[F.lit(c) for c in names])
+    place = F.split("pair", ",")
+    return (
+        long.groupBy("pair")
+        .agg(F.corr("a", "b").alias("correlation"))
+        .select(
+            listed[place[0].cast("int")].alias("feature_1"),
+            listed[place[1].cast("int")].alias("feature_2"),
+            "correlation",
         )
-        for a, b in combinations(columns, 2)
-    ]
-    return df.agg(F.array(*packed).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+    )
 
 
 def correlated_pairs(df: DataFrame, columns: Sequence[str], threshold: float = 0.8) -> DataFrame:

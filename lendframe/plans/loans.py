@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendframe.schema import RAW_COLUMNS
+from lendframe.session import spread
 
 _DIGIT = "CAST(substr(o_orderpriority, 1, 1) AS DOUBLE)"
 _GRADE = "substr('ABCDEFG', CAST(1 + o_orderkey % 7 AS INT), 1)"
@@ -85,7 +86,7 @@ def loans(spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None
     """Loan rows, one per order, holding `columns` (all by default)."""
     wanted = list(columns) if columns is not None else RAW_COLUMNS
     text = " ".join(COLUMN_SQL[c] for c in wanted)
-    rows = table(spark, sf_dir, "orders")
+    rows = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     if any(f in text for f in _LINE_FIELDS):
         per_order = (
             table(spark, sf_dir, "lineitem")

@@ -64,3 +64,13 @@ def local_copy(df: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame | None:
     if len(rows) > limit:
         return None
     return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a scan that has fewer partitions than the session has cores.
+
+    One small file is a single task however many cores are free. A scan with enough partitions, the
+    usual case for large tables, is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
