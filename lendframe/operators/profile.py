@@ -277,32 +277,17 @@ def histogram(df: DataFrame, bins: Mapping[str, int]) -> DataFrame:
 
     Empty bins have no row.
     """
-    limits = df.agg(
-        F.struct(
-            *[
-                F.struct(
-                    F.min(F.col(c).cast("double")).alias("lo"), F.max(F.col(c).cast("double")).alias("hi")
-                ).alias(c)
-                for c in bins
-            ]
-        )
+    names = list(bins)
+    limits = per_column(
+        df,
+        names,
+        {"lo": lambda c: F.min(number(c)), "hi": lambda c: F.max(number(c)), "bins": lambda c: F.lit(bins[c])},
     )
-    entries = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(c).cast("double").alias("value"),
-            F.col(f"_l.{c}.lo").alias("lo"),
-            F.col(f"_l.{c}.hi").alias("hi"),
-            F.lit(n).alias("bins"),
-        )
-        for c, n in bins.items()
-    ]
     rows = (
-        df.select(*bins)
-        .withColumn("_l", limits.scalar())
-        .select(F.explode(F.array(*entries)).alias("e"))
-        .select("e.*")
+        df.select(*[number(c).alias(c) for c in names])
+        .unpivot([], names, "column", "value")
         .filter("value IS NOT NULL")
+        .join(F.broadcast(limits), "column")
     )
     width = (F.col("hi") - F.col("lo")) / F.col("bins")
     slot = F.coalesce(F.floor(F.try_divide(F.col("value") - F.col("lo"), width)), F.lit(0))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendframe.operators.profile import duplicate_rows, null_counts, per_column, percent, target_mix
+from lendframe.operators.profile import duplicate_rows, percent, target_mix
 from lendframe.schema import LOAN_RULES, RuleSet
 
 ISSUE = "check string, column string, severity string, observed double, limit double"
@@ -35,76 +35,109 @@ def _fits(kind: str, t: T.DataType) -> bool:
     return isinstance(t, (T.StringType, T.BooleanType))
 
 
+class Facts:
+    """Measures gathered for several checks at once, and the issue rows built from them.
+
+    All measures are columns of one aggregate over the table, so any number of these checks reads it a
+    single time.
+    """
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+        self.measures: dict[str, Column] = {"rows": F.count(F.lit(1))}
+        self.entries: list[Column] = []
+
+    def measure(self, name: str, value: Column) -> Column:
+        self.measures[name] = value
+        return F.col(f"`{name}`")
+
+    def nulls(self, c: str) -> Column:
+        return self.measure(f"nulls of {c}", F.count_if(F.col(f"`{c}`").isNull()))
+
+    def add(self, check: str, column: str | None, severity: Column, observed: Column, limit: float | None) -> None:
+        """An issue row; none is made where `severity` is NULL."""
+        self.entries.append(
+            F.struct(
+                F.lit(check).alias("check"),
+                F.lit(column).cast("string").alias("column"),
+                severity.alias("severity"),
+                observed.cast("double").alias("observed"),
+                F.lit(limit).cast("double").alias("limit"),
+            )
+        )
+
+    def rows(self) -> DataFrame:
+        if not self.entries:
+            return self.df.sparkSession.createDataFrame([], ISSUE)
+        measured = self.df.agg(*[m.alias(n) for n, m in self.measures.items()])
+        found = measured.select(F.explode(F.array(*self.entries)).alias("r")).select("r.*")
+        return found.filter("severity IS NOT NULL")
+
+
+def _empty_facts(facts: Facts) -> None:
+    facts.add("empty", None, F.when(F.col("rows") == 0, "error"), F.col("rows"), 1.0)
+
+
+def _schema_facts(facts: Facts, rules: RuleSet) -> None:
+    present = {f.name: f.dataType for f in facts.df.schema}
+    for c in rules.required:
+        if c not in present:
+            facts.add("schema_missing", c, F.lit("error"), F.lit(None), None)
+    for c in present:
+        if c not in rules.required:
+            facts.add("schema_extra", c, F.lit("warning"), F.col("rows") - facts.nulls(c), None)
+    for c, kind in rules.required.items():
+        if c in present and not _fits(kind, present[c]):
+            facts.add("schema_type", c, F.lit("warning"), F.col("rows") - facts.nulls(c), None)
+
+
+def _null_facts(facts: Facts, rules: RuleSet) -> None:
+    for c in facts.df.columns:
+        limit = rules.null_limits.get(c, rules.default_null_limit)
+        share = percent(facts.nulls(c), F.col("rows"))
+        severity = F.when(share > limit, "error").when(share > limit * NEAR_LIMIT, "warning")
+        facts.add("nulls", c, severity, share, limit)
+
+
+def _range_facts(facts: Facts, rules: RuleSet) -> None:
+    numeric = {f.name for f in facts.df.schema if isinstance(f.dataType, T.NumericType)}
+    for c, (low, high) in rules.ranges.items():
+        if c not in numeric:
+            continue
+        if low is not None:
+            below = facts.measure(f"below {c}", F.count_if(F.col(c) < low))
+            facts.add("ranges", c, F.when(below > 0, "error"), below, low)
+        if high is not None:
+            above = facts.measure(f"above {c}", F.count_if(F.col(c) > high))
+            facts.add("ranges", c, F.when(above > 0, "warning"), above, high)
+
+
 def check_schema(df: DataFrame, rules: RuleSet = LOAN_RULES) -> DataFrame:
     """Missing required columns are errors; extra columns and wrong type families are warnings.
 
     One row per column, so several missing columns are several errors. `observed` is the number of
     values found in the column.
     """
-    present = {f.name: f.dataType for f in df.schema}
-    found = [(c, "missing") for c in rules.required if c not in present]
-    found += [(c, "extra") for c in present if c not in rules.required]
-    found += [
-        (c, "type") for c, kind in rules.required.items() if c in present and not _fits(kind, present[c])
-    ]
-    spark = df.sparkSession
-    table = spark.createDataFrame(found, "column string, problem string")
-    counted = per_column(
-        df, df.columns, {"observed": lambda c: F.count(F.col(f"`{c}`")).cast("double")}
-    )
-    severity = F.when(F.col("problem") == "missing", "error").otherwise("warning")
-    rows = table.join(F.broadcast(counted), "column", "left").withColumns(
-        {"severity": severity, "limit": F.lit(None).cast("double")}
-    )
-    return rows.select(
-        F.concat(F.lit("schema_"), "problem").alias("check"), "column", "severity", "observed", "limit"
-    )
-
-
-def null_limit(rules: RuleSet) -> Column:
-    limit = F.lit(rules.default_null_limit)
-    for name, value in rules.null_limits.items():
-        limit = F.when(F.col("column") == name, F.lit(value)).otherwise(limit)
-    return limit
+    facts = Facts(df)
+    _schema_facts(facts, rules)
+    return facts.rows()
 
 
 def check_nulls(df: DataFrame, rules: RuleSet = LOAN_RULES) -> DataFrame:
     """Percent of NULLs above the column's limit is an error, above 80% of it a warning."""
-    rows = null_counts(df).select(
-        "column",
-        percent(F.col("null_count"), F.col("rows")).alias("observed"),
-        null_limit(rules).alias("limit"),
-    )
-    severity = F.when(F.col("observed") > F.col("limit"), "error").when(
-        F.col("observed") > F.col("limit") * NEAR_LIMIT, "warning"
-    )
-    return _issues(rows.withColumn("severity", severity).filter("severity IS NOT NULL"), "nulls")
+    facts = Facts(df)
+    _null_facts(facts, rules)
+    return facts.rows()
 
 
 def check_ranges(df: DataFrame, rules: RuleSet = LOAN_RULES) -> DataFrame:
-    """Values below the minimum are an error, above the maximum a warning; `observed` is their count."""
-    numeric = {f.name for f in df.schema if isinstance(f.dataType, T.NumericType)}
-    parts = []
-    for c, (low, high) in rules.ranges.items():
-        if c not in numeric:
-            continue
-        for bound, severity, bad in (
-            (low, "error", None if low is None else F.col(c) < low),
-            (high, "warning", None if high is None else F.col(c) > high),
-        ):
-            if bad is not None:
-                parts.append(
-                    F.struct(
-                        F.lit(c).alias("column"),
-                        F.lit(severity).alias("severity"),
-                        F.count_if(bad).alias("observed"),
-                        F.lit(float(bound)).alias("limit"),
-                    )
-                )
-    if not parts:
-        return df.sparkSession.createDataFrame([], ISSUE)
-    rows = df.agg(F.array(*parts).alias("r")).select(F.explode("r").alias("r")).select("r.*")
-    return _issues(rows.filter("observed > 0"), "ranges")
+    """Values below the minimum are an error, above the maximum a warning; `observed` is their count.
+
+    Bounds are inclusive, NULL is ignored and columns that are not numeric are skipped.
+    """
+    facts = Facts(df)
+    _range_facts(facts, rules)
+    return facts.rows()
 
 
 def unexpected_values(df: DataFrame, rules: RuleSet = LOAN_RULES) -> DataFrame:
@@ -159,35 +192,26 @@ def check_imbalance(df: DataFrame, rules: RuleSet = LOAN_RULES) -> DataFrame:
     return _issues(rows.filter(F.col("observed") < F.col("limit")), "imbalance")
 
 
-def check_empty(df: DataFrame) -> DataFrame:
-    rows = df.agg(F.count(F.lit(1)).alias("observed")).withColumns(
-        {
-            "column": F.lit(None).cast("string"),
-            "severity": F.lit("error"),
-            "limit": F.lit(1.0),
-        }
-    )
-    return _issues(rows.filter("observed = 0"), "empty")
-
-
 def issues(
     df: DataFrame, rules: RuleSet = LOAN_RULES, checks: tuple[str, ...] = CHECKS
 ) -> DataFrame:
-    """All issue rows of the chosen checks."""
-    parts = [check_empty(df)]
+    """All issue rows of the chosen checks; an empty table is always an error.
+
+    Schema, NULL and range checks share one read of the table.
+    """
+    facts = Facts(df)
+    _empty_facts(facts)
     if "schema" in checks:
-        parts.append(check_schema(df, rules))
+        _schema_facts(facts, rules)
     if "nulls" in checks:
-        parts.append(check_nulls(df, rules))
+        _null_facts(facts, rules)
     if "ranges" in checks:
-        parts.append(check_ranges(df, rules))
+        _range_facts(facts, rules)
+    out = facts.rows()
     if "categories" in checks:
-        parts.append(check_categories(df, rules))
+        out = out.unionByName(check_categories(df, rules))
     if "statistics" in checks:
-        parts += [check_duplicates(df, rules), check_imbalance(df, rules)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(check_duplicates(df, rules)).unionByName(check_imbalance(df, rules))
     return out
 
 

@@ -14,13 +14,13 @@ from lendframe.operators.search import Search
 from lendframe.operators.split import split_column
 from lendframe.plans.catalog import AS_OF_YEAR, query
 from lendframe.plans.loans import loans, table
-from lendframe.plans.preparation import fitted, prepared
+from lendframe.plans.preparation import fitted, prepared, stored
 from lendframe.sources import ingest
 from lendframe.sources.io import list_files
 from lendframe.sources.lake import schema_inventory
 from lendframe.sources.registry import ModelRegistry, compare_versions, version_stages
 from lendframe.sources.store import FeatureStore
-from lendframe.session import materialise, work_path
+from lendframe.session import work_path
 
 # Small ensembles: the queries show the jobs, not the best model.
 QUICK = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0}
@@ -33,17 +33,11 @@ TINY = {**QUICK_A, "n_estimators": 4, "max_depth": 3}
 def _trained(spark: SparkSession, sf_dir: str, profile: str) -> tuple[train.LoanModel, tuple]:
     """One model per table folder and profile, shared by the queries that only read it."""
     params = {"gbt": QUICK_A, "gbt_coded": QUICK_B, "forest": {"n_estimators": 10, "max_depth": 5}}[profile]
-    rows = _rows(spark, sf_dir)
+    rows = stored(spark, sf_dir)
     model, found = train.train_and_evaluate(rows, profile, params)
     return model, tuple(found.collect())
 
 
-@lru_cache(maxsize=None)
-def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared loans as a written table, read by all model queries."""
-    return materialise(prepared(spark, sf_dir), "prepared")
-
-
 def model_of(spark: SparkSession, sf_dir: str, profile: str = "gbt") -> train.LoanModel:
     return _trained(spark, sf_dir, profile)[0]
 
@@ -71,7 +65,7 @@ def train_forest(spark, sf_dir):
 
 @query("train_val_metrics")
 def train_val_metrics(spark, sf_dir):
-    rows = train.labelled(_rows(spark, sf_dir)).withColumn("split", split_column())
+    rows = train.labelled(stored(spark, sf_dir)).withColumn("split", split_column())
     return train.split_metrics(model_of(spark, sf_dir), rows)
 
 
@@ -84,12 +78,12 @@ def feature_importance(spark, sf_dir):
 
 @query("cv_folds")
 def cv_folds(spark, sf_dir):
-    return train.cross_validate(_rows(spark, sf_dir), "gbt", TINY, 5)
+    return train.cross_validate(stored(spark, sf_dir), "gbt", TINY, 5)
 
 
 @query("cv_summary")
 def cv_summary(spark, sf_dir):
-    return train.cv_summary(train.cross_validate(_rows(spark, sf_dir), "gbt", TINY, 5))
+    return train.cv_summary(train.cross_validate(stored(spark, sf_dir), "gbt", TINY, 5))
 
 
 _SPACE = {
@@ -101,7 +95,7 @@ _SPACE = {
 
 @query("search_history")
 def search_history(spark, sf_dir):
-    rows = _rows(spark, sf_dir)
+    rows = stored(spark, sf_dir)
     search = Search("gbt", _SPACE, folds=3)
     search.tune(rows, trials=3, method="halving", shares=(0.3, 1.0), used_folds=1)
     return search.history(rows)
@@ -109,7 +103,7 @@ def search_history(spark, sf_dir):
 
 @query("search_random")
 def search_random(spark, sf_dir):
-    rows = _rows(spark, sf_dir)
+    rows = stored(spark, sf_dir)
     search = Search("gbt", _SPACE, folds=3)
     search.tune(rows, trials=2, method="random", used_folds=1)
     return search.history(rows)
@@ -151,7 +145,7 @@ def prediction_mix(spark, sf_dir):
 
 @query("model_evaluation")
 def model_evaluation(spark, sf_dir):
-    rows = train.labelled(_rows(spark, sf_dir)).filter(split_column() == "test")
+    rows = train.labelled(stored(spark, sf_dir)).filter(split_column() == "test")
     tables = {
         p: score.with_probability(model_of(spark, sf_dir, p), rows).select("label", F.col("p_repaid").alias("score"))
         for p in ("gbt", "gbt_coded", "forest")
@@ -164,7 +158,7 @@ def model_evaluation(spark, sf_dir):
 
 def _explained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     model = model_of(spark, sf_dir)
-    return explain.explain(model, prepared(spark, sf_dir)), model.features
+    return explain.explain(model, stored(spark, sf_dir)), model.features
 
 
 @query("shap_values")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ from lendframe.plans.catalog import (
 )
 from lendframe.plans.loans import loans, table
 from lendframe.schema import CATEGORICAL, DROPPED, LOAN_SCHEMA, RAW_COLUMNS
+from lendframe.session import materialise
 from lendframe.sources.lake import lake_query
 
 
@@ -44,6 +47,12 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted(spark, sf_dir).transform(loans(spark, sf_dir))
 
 
+@lru_cache(maxsize=None)
+def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepared loans as a written table, for queries that read them more than once."""
+    return materialise(prepared(spark, sf_dir), "prepared")
+
+
 @query("scan_loans", "SELECT * FROM loans")
 def scan_loans(spark, sf_dir):
     return loans(spark, sf_dir)
@@ -389,7 +398,7 @@ _VOCABULARY = (
 
 @query("vocabulary", _VOCABULARY + "SELECT * FROM vocab", PREPARED_PARTS)
 def vocabulary(spark, sf_dir):
-    return encode.vocabulary(prepared(spark, sf_dir), CATEGORICAL)
+    return encode.vocabulary(stored(spark, sf_dir), CATEGORICAL)
 
 
 @query(
@@ -401,7 +410,7 @@ def vocabulary(spark, sf_dir):
     PREPARED_PARTS,
 )
 def label_encode(spark, sf_dir):
-    rows = prepared(spark, sf_dir)
+    rows = stored(spark, sf_dir)
     labels = encode.fitted_labels(encode.vocabulary(rows, CATEGORICAL))
     coded = encode.label_encode(rows, labels, CATEGORICAL)
     return coded.select("loan_id", *[f"{c}_code" for c in CATEGORICAL])

@@ -13,7 +13,7 @@ from lendframe.operators import drift, encode, features, profile, quality
 from lendframe.operators.ranking import approx_quantiles, exact_quantiles
 from lendframe.plans.catalog import ETL_PARTS, PREPARED_PARTS, query
 from lendframe.plans.loans import loans
-from lendframe.plans.preparation import etl_loans, prepared
+from lendframe.plans.preparation import etl_loans, stored
 from lendframe.schema import CATEGORICAL, LOAN_RULES, LOAN_SCHEMA, NUMERIC, RAW_COLUMNS
 
 _RAW_NUMBERS = [f.name for f in LOAN_SCHEMA if f.dataType.typeName() == "double"]
@@ -224,7 +224,7 @@ _CODES_SQL = (
     PREPARED_PARTS,
 )
 def correlation_matrix(spark, sf_dir):
-    rows = prepared(spark, sf_dir)
+    rows = stored(spark, sf_dir)
     labels = encode.fitted_labels(encode.vocabulary(rows, _CODED))
     coded = encode.label_encode(rows, labels, _CODED, suffix="__code")
     coded = coded.select(*NUMERIC, *[F.col(f"{c}__code").alias(c) for c in _CODED])
@@ -256,7 +256,7 @@ _LABEL_SQL = "CASE loan_status WHEN 'Fully Paid' THEN 1e0 WHEN 'Charged Off' THE
     PREPARED_PARTS,
 )
 def target_correlation(spark, sf_dir):
-    rows = prepared(spark, sf_dir).withColumn(
+    rows = stored(spark, sf_dir).withColumn(
         "label", cleaning.target_code(F.col("loan_status")).cast("double")
     )
     return _rounded(profile.target_correlation(rows, NUMERIC, "label"), ["importance"])
@@ -296,7 +296,7 @@ def box_stats(spark, sf_dir):
 
 @query("box_stats_derived", _box_sql("loan_status", _BOXED_DERIVED, "prepared"), PREPARED_PARTS)
 def box_stats_derived(spark, sf_dir):
-    found = profile.box_stats(prepared(spark, sf_dir), _BOXED_DERIVED, "loan_status")
+    found = profile.box_stats(stored(spark, sf_dir), _BOXED_DERIVED, "loan_status")
     return _rounded(found, ["q1", "median", "q3"])
 
 
@@ -477,7 +477,7 @@ def validation_report(spark, sf_dir):
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepared(spark, sf_dir).withColumn("label", cleaning.target_code(F.col("loan_status")))
+    return stored(spark, sf_dir).withColumn("label", cleaning.target_code(F.col("loan_status")))
 
 
 def _information_sql(cells: str) -> str:
