@@ -108,8 +108,15 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approxi
     names = list(columns or df.columns)
     if approximate:
         return per_column(df, names, {"n_distinct": F.approx_count_distinct})
+    floating = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+
+    def text(c: str) -> Column:
+        # Adding zero turns -0.0 into 0.0, which it equals.
+        value = F.col(f"`{c}`") + F.lit(0.0) if c in floating else F.col(f"`{c}`")
+        return value.cast("string").alias(c)
+
     found = (
-        df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in names])
+        df.select(*[text(c) for c in names])
         .unpivot([], names, "column", "value")
         .distinct()
     )

@@ -150,7 +150,7 @@ def exact_quantiles(
     (`bounded_groups`), the table is read twice and almost nothing is shuffled: mergeable summaries
     first give, for each probability, a narrow bracket that holds its rank; the second read counts
     single values inside the brackets only and keeps count, minimum and maximum of everything
-    between them. About 4 / accuracy of the rows per probability reach the ordering step.
+    between them. No task orders more than about 4 / accuracy of the rows, less where values repeat.
 
     With an unknown number of groups the value counts of `value_histogram` are ranked instead.
     """
@@ -176,31 +176,48 @@ def exact_quantiles(
         low, high = F.col(f"_e{i}"), F.col(f"_e{i + 1}")
         inside = inside | ((v >= low) & (v <= high))
         slot = slot + (v > low).cast("int") + (v > high).cast("int")
+    # A slot that could be NULL would filter one side of the join below only, and the two sides would
+    # no longer share their shuffle.
+    never_null = F.coalesce(slot, F.lit(0))
     counted = (
         clean.unpivot(groups, list(columns), "column", "v")
         .filter(v.isNotNull())
         .join(F.broadcast(bounds), [*groups, "column"])
-        .select(*groups, "column", "v", inside.alias("_in"), slot.alias("_slot"))
-        .groupBy(
-            *groups,
-            "column",
-            F.when(F.col("_in"), v).alias("inner"),
-            F.when(~F.col("_in"), F.col("_slot")).alias("slot"),
-        )
+        .select(*groups, "column", "v", F.when(inside, v).alias("inner"), never_null.alias("slot"))
+        .groupBy(*groups, "column", "slot", "inner")
         .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     )
     # A stretch between brackets is only ever entered at its first or last value.
-    split = F.col("slot").isNotNull() & (F.col("n") > 1)
+    split = F.col("inner").isNull() & (F.col("n") > 1)
     one = F.lit(1).cast("bigint")
-    first = F.struct(F.col("lo").alias("value"), F.when(split, F.col("n") - 1).otherwise(F.col("n")).alias("n"))
+    rest = F.when(split, F.col("n") - 1).otherwise(F.col("n"))
+    first = F.struct(F.col("lo").alias("value"), rest.alias("n"))
     last = F.struct(F.col("hi").alias("value"), one.alias("n"))
     steps = counted.select(
-        *groups, "column", F.explode(F.when(split, F.array(first, last)).otherwise(F.array(first))).alias("s")
-    ).select(*groups, "column", "s.value", "s.n")
-    whole = Window.partitionBy(*groups, "column")
-    upto = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = steps.select(
-        "*", F.sum("n").over(upto).alias("n_upto"), F.sum("n").over(whole).alias("n_total")
+        *groups, "column", "slot", F.explode(F.when(split, F.array(first, last)).otherwise(F.array(first))).alias("s")
+    ).select(*groups, "column", "slot", "s.value", "s.n")
+    # Slots are in value order, so each one is summed on its own and shifted by those before it.
+    keys = [*groups, "column"]
+    inside_slot = (
+        Window.partitionBy(*keys, "slot")
+        .orderBy("value")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    local = steps.withColumn("_upto", F.sum("n").over(inside_slot))
+    slots = Window.partitionBy(*keys)
+    before = slots.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (
+        local.groupBy(*keys, "slot")
+        .agg(F.max("_upto").alias("_all"))
+        .select(
+            *keys,
+            "slot",
+            F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_shift"),
+            F.sum("_all").over(slots).alias("n_total"),
+        )
+    )
+    ranked = local.join(F.broadcast(shifts), [*keys, "slot"]).select(
+        *keys, "value", (F.col("_upto") + F.col("_shift")).alias("n_upto"), "n_total"
     )
     return _picked(ranked, probabilities, [*groups, "column"], interpolate)
 

@@ -153,7 +153,7 @@ class ModelRegistry:
     def load(self, name: str, version: str | None = None, stage: str | None = None) -> LoanModel:
         """A saved model by version, by stage, or the newest."""
         if stage is not None:
-            held = model_list(self._known(name)).select(f"{stage}_version").first()[0]
+            held = self._known(name).filter(F.col("stage") == stage).agg(F.max_by("version", "seq")).first()[0]
             if held is None:
                 raise ValueError(f"no {stage} version of {name}")
             version = held
