@@ -516,12 +516,20 @@ def mutual_information_numeric(spark, sf_dir):
 
 @query(
     "select_top_features",
-    "SELECT loan_id, credit_age, dti, pub_rec_bankruptcies FROM prepared",
+    _information_sql(f"{_TEXT_CELLS} UNION ALL {_NUMBER_CELLS}").replace(
+        "SELECT feature, round(sum(", "SELECT feature, (SELECT count(*) FROM prepared) AS non_null, round(sum("
+    )
+    + " ORDER BY importance DESC, feature LIMIT 3",
     PREPARED_PARTS,
 )
 def select_top_features(spark, sf_dir):
+    """The three most informative columns, with their strength and the values the projection holds."""
     rows = _labelled(spark, sf_dir)
-    return features.select_features(rows, "label", [*CATEGORICAL, *NUMERIC], 3, keep=["loan_id"])[0]
+    chosen, names = features.select_features(rows, "label", [*CATEGORICAL, *NUMERIC], 3, keep=["loan_id"])
+    held = profile.per_column(chosen, names, {"non_null": F.count}).withColumnRenamed("column", "feature")
+    texts, numbers = [c for c in names if c in CATEGORICAL], [c for c in names if c in NUMERIC]
+    strength = features.mutual_information(rows, "label", texts, numbers)
+    return _rounded(held.join(F.broadcast(strength), "feature"), ["importance"], 9)
 
 
 _DRIFT_TEXT = ["grade", "home_ownership", "purpose", "emp_length"]
