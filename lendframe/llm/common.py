@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -48,6 +49,18 @@ def per_text(df: DataFrame, column: str, keep: tuple[str, ...], schema: str, sta
     return df.select(*keep, run(df[column]).alias("_result")).select(*keep, "_result.*")
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand `rows` rows at a time to Python in what is executed inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, "10000")
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def vocabulary_path(name: str) -> str:
     return os.path.join(TOKENIZERS, name)
 

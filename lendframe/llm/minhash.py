@@ -4,11 +4,12 @@ Method: sequential Bayesian verification of banded MinHash candidates. Documents
 set form one class. Classes that agree on a whole band of their signature are candidates; the signatures
 of a candidate pair are compared batch by batch, and the pair is dropped as soon as the posterior chance
 that its similarity reaches the threshold falls below `MISS`. Survivors are verified on full shingle
-sets. Linked classes are joined to components by label propagation with pointer jumping.
+sets. Linked classes are joined to components by hooking and pointer jumping.
 
-A band may gather a large group. No pair list of a group is made: each round compares the members with a
-few pivots, joins what links, and only members of different components go on to the next round, until no
-bucket holds two components whose members were not compared. All candidates are settled that way.
+A band may gather a large group. No pair list of a group is made: its members are compared with one pivot
+and what links is joined. Where a bucket still holds several components, its members are dealt into chunks
+of bounded size, and chunks that share a bucket are compared as a whole, on full sets, emitting only the few
+links that connect components. So every candidate is settled, whatever the size of its bucket.
 
 Rows: one per input row. Null, empty and blank texts have no shingles and link with nothing. Rows without
 a doc_id take no part: component_id is null and they are kept. Repeated rows fall into one class and are each
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendframe.llm.common import U64, WordHashes, arrow_batches, mix, per_text, shingles, signed, words_of
+from lendframe.llm.common import U64, WordHashes, arrow_batches, batch_rows, mix, per_text, shingles, signed, words_of
 from lendframe.session import materialise
 
 BANDS = 40
@@ -34,9 +35,10 @@ COMPARED = 128  # signature values kept for the sequential test
 BATCH = 16  # values compared before each posterior bound
 MISS = 1e-6  # posterior chance below which a pair is dropped
 _CHUNK = 2048  # shingles hashed at once, a memory bound
-# Cross-component candidate pairs of one round, per bucket member; a plan choice, all pairs get their turn.
-PAIRS_PER_MEMBER = 4
+# Members up to which a bucket's open pairs are listed; larger buckets are compared chunk by chunk.
 SMALL_BUCKET = 16
+CHUNK_SHINGLES = 60_000  # of a chunk, on average
+COLUMNS_AT_ONCE = 8_192  # a memory bound
 
 
 def band_rows(threshold: float, bands: int = BANDS) -> int:
@@ -91,7 +93,7 @@ class Sketcher:
         keys = mix((used * self.weights[: used.size].reshape(used.shape)).sum(axis=1) + np.arange(self.bands, dtype=U64))
         prints = signed(np.array([mix(x).sum(), mix(x ^ U64(0x5851F42D4C957F2D)).sum()], U64))
         short = (s[:COMPARED] >> U64(48)).astype(np.uint16).tobytes()
-        return len(x), int(prints[0]), int(prints[1]), short, signed(keys).tolist()
+        return len(x), int(prints[0]), int(prints[1]), short, signed(keys)
 
 
 def sketches(docs: DataFrame, width: int, threshold: float) -> DataFrame:
@@ -137,7 +139,7 @@ def _links(survivors: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for p, q in zip(batch["xa"], batch["xb"]):
-                x, y = np.frombuffer(p, U64), np.frombuffer(q, U64)
+                x, y = np.asarray(p, np.int64), np.asarray(q, np.int64)
                 common = len(x) + len(y) - len(np.union1d(x, y))
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.loc[keep, ["a", "b"]]
@@ -146,24 +148,43 @@ def _links(survivors: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component): the smallest node reachable over `links` (a, b), for every linked node."""
+    """(node, component): the smallest node reachable over `links` (a, b), for every linked node.
+
+    Every node takes over its smallest neighbour, chains of that are followed by pointer jumping, and the
+    links between what came out are settled in the same way, until none is left.
+    """
     edges = materialise(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges"
+        links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "edges"
     )
-    labels = materialise(edges.groupBy("a").agg(F.least("a", F.min("b")).alias("component")).withColumnRenamed("a", "node"), "labels")
+    found = None
     while True:
-        near = edges.join(labels, edges.a == labels.node).select(F.col("b").alias("node"), "component")
-        lower = labels.unionByName(near).groupBy("node").agg(F.min("component").alias("component"))
-        # Pointer jumping: take over the label of the node that a label names.
-        jump = lower.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
-        jumped = lower.join(jump, lower.component == jump._n, "left").select(
-            "node", F.least("component", F.coalesce("_c", "component")).alias("component")
-        )
-        after = materialise(jumped, "labels")
-        old = labels.select("node", F.col("component").alias("_old"))
-        if after.join(old, "node").where("component != _old").isEmpty():
-            return after
-        labels = after
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        labels = both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("component"))
+        labels = _jumped(materialise(labels, "labels"))
+        if found is None:
+            found = labels
+        else:
+            step = labels.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+            found = found.join(step, found.component == step._n, "left")
+            found = materialise(found.select("node", F.coalesce("_c", "component").alias("component")), "labels")
+        for end in ("a", "b"):
+            named = labels.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"))
+            edges = edges.join(named, end)
+        edges = edges.where("_a != _b").select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+        edges = materialise(edges.distinct(), "edges")
+        if edges.isEmpty():
+            return found
+
+
+def _jumped(labels: DataFrame) -> DataFrame:
+    """`labels` (node, component) with every component followed to its end."""
+    while True:
+        jump = labels.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+        after = labels.join(jump, labels.component == jump._n, "left")
+        after = materialise(after.select("node", F.coalesce("_c", "component").alias("component"), F.col("component").alias("_old")), "labels")
+        labels = after.select("node", "component")
+        if after.where("component != _old").isEmpty():
+            return labels
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -172,7 +193,7 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members, with component and bucket size, of the buckets that hold several components."""
     labelled = _labelled(members, labels)
     mixed = (
@@ -184,40 +205,105 @@ def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return labelled.join(mixed, "bucket").select("bucket", "node", "component", "size")
 
 
+def _block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of the buckets of `members` (bucket, node, component), as few as
+    connect what is linked.
+
+    Members of buckets that overlap are dealt into chunks of bounded size; two chunks meet in one row where
+    some bucket holds members of both, and their sets are compared there, so that no pairs are emitted.
+    """
+    hub = members.groupBy("bucket").agg(F.min("node").alias("b"))
+    families = components(members.join(hub, "bucket").select(F.col("node").alias("a"), "b"))
+    families = families.withColumnRenamed("component", "family")
+    nodes = members.select("node", "component").distinct().join(families, "node").join(sets, "node")
+    nodes = materialise(nodes, "family")
+    sizes = nodes.groupBy("family").agg(F.ceil(F.sum(F.size("shingles")) / CHUNK_SHINGLES).alias("chunks"))
+    place = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    placed = nodes.select("node", "family").join(sizes, "family").select("node", "family", place.alias("chunk"))
+    packed = (
+        nodes.join(sizes, "family")
+        .groupBy("family", place.alias("chunk"))
+        .agg(F.collect_list(F.struct("node", "component", "shingles")).alias("members"))
+    )
+    packed = materialise(packed, "chunks")
+    inside = members.select("bucket", "node").join(placed, "node").select("bucket", "family", "chunk").distinct()
+    other = inside.select("bucket", F.col("chunk").alias("chunk_b"))
+    meet = inside.join(other, "bucket").where("chunk <= chunk_b").select("family", "chunk", "chunk_b").distinct()
+    second = packed.select("family", F.col("chunk").alias("chunk_b"), F.col("members").alias("members_b"))
+    rows = meet.join(packed, ["family", "chunk"]).join(second, ["family", "chunk_b"]).select("members", "members_b")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for left, right in zip(batch["members"], batch["members_b"]):
+                yield pd.DataFrame(_chunk_links(left, right, percent), columns=["a", "b"]).astype("int64")
+
+    with batch_rows(members.sparkSession, 8):
+        return materialise(rows.mapInPandas(run, "a long, b long").distinct(), "links")
+
+
+def _chunk_links(left: list[dict], right: list[dict], percent: int) -> list[tuple[int, int]]:
+    """(lower, higher) nodes of links between different components of two chunks, without closing circles."""
+    both = [*left, *right]
+    node = [m["node"] for m in both]
+    held = [np.asarray(m["shingles"], np.int64) for m in both]
+    # Shingles that one member alone holds meet no other; the rest become columns.
+    values, column, count = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+    narrow = np.cumsum(count > 1) - 1
+    size = np.array([len(x) for x in held])
+    row = np.repeat(np.arange(len(both)), size)
+    use = count[column] > 1
+    width = int((count > 1).sum())
+    common = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, width, COLUMNS_AT_ONCE):
+        part = use & (narrow[column] >= at) & (narrow[column] < at + COLUMNS_AT_ONCE)
+        grid = np.zeros((len(both), min(COLUMNS_AT_ONCE, width - at)), np.float32)
+        grid[row[part], narrow[column[part]] - at] = 1
+        common += grid[: len(left)] @ grid[len(left) :].T
+    total = size[: len(left), None] + size[None, len(left) :] - common
+    parent = {m["component"]: m["component"] for m in both}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(100 * common.astype(np.int64) >= percent * total.astype(np.int64)).tolist():
+        a, b = left[i], right[j]
+        x, y = find(a["component"]), find(b["component"])
+        if x != y:
+            parent[x] = y
+            out.append((min(a["node"], b["node"]), max(a["node"], b["node"])))
+    return out
+
+
 def _settle(members: DataFrame, signatures: DataFrame, sets: DataFrame, threshold: float, percent: int) -> DataFrame | None:
     """(node, component) of all linked candidates of `members` (bucket, node); None if nothing links."""
-    links, labels, turn = None, None, 0
-    while True:
-        left = materialise(_open(members, labels), "open")
-        parts = left.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-        buckets = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-        n, cross = buckets.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()
-        if not n:
-            return labels
-        # First one pivot per bucket, then all members of small buckets and a share of the large ones.
-        if turn == 0:
-            pivots = left.groupBy("bucket").agg(F.min("node").alias("pivot"))
-            pivots = pivots.withColumn("pivot_component", F.col("pivot"))
-        else:
-            share = min(1.0, PAIRS_PER_MEMBER * n / cross)
-            chance = F.when(F.col("size") <= SMALL_BUCKET, 1.0).otherwise(F.greatest(F.lit(share), 1 / F.col("size")))
-            drawn = F.pmod(F.xxhash64("node", "bucket", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
-            pivots = left.where(drawn < chance).select("bucket", F.col("node").alias("pivot"), F.col("component").alias("pivot_component"))
-        pairs = materialise(
-            left.join(pivots, "bucket")
-            .where("component != pivot_component")
-            .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-            .distinct(),
-            "pairs",
-        )
-        found = materialise(_links(_survivors(pairs, signatures, threshold), sets, percent), "links")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = components(links)
-        # What was compared as a pivot has met every other member of its bucket.
-        used = pivots.select("bucket", F.col("pivot").alias("node"))
-        members = materialise(left.select("bucket", "node").join(used, ["bucket", "node"], "left_anti"), "members")
-        turn += 1
+    spark = members.sparkSession
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        passed = materialise(_survivors(materialise(pairs.distinct(), "pairs"), signatures, threshold), "survivors")
+        with batch_rows(spark, 200):
+            return materialise(_links(passed, sets, percent), "links")
+
+    # First every member meets one pivot of its bucket.
+    pivots = members.groupBy("bucket").agg(F.min("node").alias("pivot"))
+    rest = members.join(pivots, "bucket").where("node != pivot")
+    links = verified(rest.select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+    labels = None if links.isEmpty() else components(links)
+    # Then, where different components still share a bucket, all their other members meet.
+    left = materialise(_open(rest.select("bucket", "node"), labels), "open")
+    small = left.where(F.col("size") <= SMALL_BUCKET).select("bucket", F.col("node").alias("a"), "component")
+    partner = small.select("bucket", F.col("a").alias("b"), F.col("component").alias("_c"))
+    pairs = small.join(partner, "bucket").where("a < b AND component != _c").select("a", "b")
+    found = verified(pairs)
+    large = left.where(F.col("size") > SMALL_BUCKET)
+    if not large.isEmpty():
+        found = found.unionByName(_block_links(large.select("bucket", "node", "component"), sets, percent))
+    if found.isEmpty():
+        return labels
+    return components(found.unionByName(links))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -242,20 +328,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     members = materialise(all_members.join(shared, "bucket").select("bucket", "node"), "members")
     candidates = members.select("node").distinct()
     signatures = materialise(classes.select("node", "signature").join(candidates, "node", "left_semi"), "signatures")
-    texts = docs.select("doc_id", "text").join(candidates.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    # The merge join keeps the plan alike at every size; a copy of all candidate ids would grow with the input.
+    wanted = candidates.withColumnRenamed("node", "doc_id").hint("merge")
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
 
     def start() -> Callable[[str | None], tuple]:
         sketcher = Sketcher(width, threshold)
-        return lambda t: (sketcher.set_of(t).tobytes(),)
+        return lambda t: (signed(sketcher.set_of(t)),)
 
     # Repeated rows of a document give one set.
-    sets = materialise(
-        per_text(texts, "text", ("doc_id",), "shingles binary", start)
-        .where(F.length("shingles") > 0)
-        .distinct()
-        .withColumnRenamed("doc_id", "node"),
-        "sets",
-    )
+    found = per_text(texts, "text", ("doc_id",), "shingles array<long>", start)
+    sets = found.groupBy("doc_id").agg(F.max("shingles").alias("shingles")).withColumnRenamed("doc_id", "node")
+    sets = materialise(sets, "sets")
     labels = _settle(members, signatures, sets, threshold, percent)
     named = _labelled(classes.select(*(F.col(k).alias(f"_{k}") for k in key), "node"), labels)
     named = named.select(*(f"_{k}" for k in key), F.col("component").alias("_component"))

@@ -18,13 +18,12 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendframe.llm.common import arrow_batches
+from lendframe.llm.common import arrow_batches, batch_rows
 from lendframe.session import materialise, work_path
 
 MIN_REVISIT = 1000
@@ -143,18 +142,6 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content")
 
 
-@contextmanager
-def one_row_batches(spark: SparkSession) -> Iterator[None]:
-    """Hand archives to Python one at a time; the setting holds for what is executed inside."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name, "10000")
-    spark.conf.set(name, "1")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _frame(rows: list[tuple], names: list[str], *integers: str) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=names)
     for c in integers:
@@ -284,6 +271,6 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def archive(pages: DataFrame) -> DataFrame:
     """Write `pages` as ARC, convert to WARC, read the WARC files back."""
     spark = arrow_batches(pages.sparkSession)
-    with one_row_batches(spark):
+    with batch_rows(spark, 1):  # an archive at a time
         legacy = read_arc(spark, write_arc(pages.select("page_id", "url", "html")))
         return materialise(read_warc(spark, write_warc(legacy, copies(pages))), "archived")
