@@ -54,34 +54,34 @@ class Suffixes:
         return spans, n, chosen[change], change, np.r_[change[1:], starts] - 1
 
     def kept(self, text: str | None) -> tuple:
-        """([(prefix, stretch, first, last)],): hashed prefix and stretch, and the windows of each suffix."""
+        """Hashed prefix, hashed stretch, first and last window of each suffix, as four arrays."""
         found = self._windows(text)
         if found is None:
-            return ([],)
+            return [], [], [], []
         spans, _, position, first, last = found
         prefix = signed(spans.of(position, position + self.length - self.reach))
         # The offset of the suffix in its stretch is part of the stretch's identity.
         stretch = signed(spans.of(first, last + self.length) ^ (position - first).astype(np.uint64))
-        return (list(zip(prefix.tolist(), stretch.tolist(), first.tolist(), last.tolist())),)
+        return prefix, stretch, first.astype(np.int32), last.astype(np.int32)
 
-    def windows(self, text: str | None, firsts) -> list[tuple[int, int, int]]:
-        """(first window of the stretch, offset, hash) of all windows of the stretches in `firsts`."""
+    def windows(self, text: str | None, firsts) -> tuple:
+        """First window of the stretch, offset and hash of all windows of the stretches in `firsts`, as arrays."""
         found = self._windows(text)
         if found is None:
-            return []
+            return [], [], []
         spans, _, _, first, last = found
         wanted = np.isin(first, np.asarray(firsts, np.int64))
-        out = []
-        for a, b in zip(first[wanted].tolist(), last[wanted].tolist()):
-            at = np.arange(a, b + 1)
-            out += zip([a] * len(at), (at - a).tolist(), signed(spans.of(at, at + self.length)).tolist())
-        return out
+        first, many = first[wanted], (last - first + 1)[wanted]
+        start = np.repeat(first, many)
+        offset = np.arange(len(start)) - np.repeat(np.cumsum(many) - many, many)
+        hashed = signed(spans.of(start + offset, start + offset + self.length))
+        return start.astype(np.int32), offset.astype(np.int32), hashed
 
 
 def _all_suffixes(docs: DataFrame, length: int) -> DataFrame:
-    kind = "s array<struct<prefix:long,stretch:long,first:int,last:int>>"
+    kind = "prefix array<long>, stretch array<long>, first array<int>, last array<int>"
     rows = per_text(docs.where("doc_id IS NOT NULL"), "text", ("doc_id",), kind, lambda: Suffixes(length).kept)
-    return rows.select("doc_id", F.explode("s").alias("s")).select("doc_id", "s.*")
+    return rows.select("doc_id", F.inline(F.arrays_zip("prefix", "stretch", "first", "last")))
 
 
 def passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -135,15 +135,14 @@ def passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def _windows(texts: DataFrame, length: int) -> DataFrame:
     """doc_id, first, offset, window of the stretches that `texts` (doc_id, text, firsts) asks for."""
     arrow_batches(texts.sparkSession)
-    kind = "array<struct<first:int,offset:int,window:long>>"
 
-    @F.pandas_udf(kind)
-    def run(text: pd.Series, firsts: pd.Series) -> pd.Series:
+    @F.pandas_udf("first array<int>, offset array<int>, window array<long>")
+    def run(text: pd.Series, firsts: pd.Series) -> pd.DataFrame:
         of = Suffixes(length)
-        return pd.Series([of.windows(t, f) for t, f in zip(text, firsts)], dtype=object)
+        return pd.DataFrame([of.windows(t, f) for t, f in zip(text, firsts)], columns=["first", "offset", "window"])
 
-    rows = texts.select("doc_id", F.explode(run("text", "firsts")).alias("w"))
-    return rows.select("doc_id", "w.*").distinct()
+    rows = texts.select("doc_id", run("text", "firsts").alias("w")).select("doc_id", "w.*")
+    return rows.select("doc_id", F.inline(F.arrays_zip("first", "offset", "window"))).distinct()
 
 
 def _merged(spans: DataFrame) -> DataFrame:
