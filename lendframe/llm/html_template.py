@@ -238,6 +238,7 @@ def templates(pages: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.sum(weighted).alias("vector"),
         F.sum("chars").alias("chars"), F.sum("total").alias("total"),
     )
+    tokens = materialise(tokens, "tokens")
     depth = F.size(F.split("path", "/"))
     last = F.element_at(F.split("path", "/"), -1)
     named = (
