@@ -17,12 +17,12 @@ _MIX_1, _MIX_2, _STEP = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB), U64(0x
 _BASE = U64(0x2545F4914F6CDD1D)
 _BASE_INVERSE = U64(pow(int(_BASE), -1, 1 << 64))
 # Distinct words a task remembers before it starts afresh; a memory bound, not a limit on input.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 100_000
 PACKAGE_FOLDER = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 TOKENIZERS = os.environ.get("CORPUS_TOKENIZERS", "/opt/tokenizers")
 
 
-def arrow_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
+def arrow_batches(spark: SparkSession, rows: int = 250) -> SparkSession:
     """Hand texts to Python in batches of `rows`, so a batch of long texts fits a worker's memory.
 
     Workers also get this package's folder on their path, for runs that were not given it at the start.
