@@ -16,7 +16,7 @@ from lendframe.operators import score as scoring
 from lendframe.operators import train as training
 from lendframe.operators.prepare import PreparationEstimator, PreparationModel, add_metadata
 from lendframe.operators.search import Search
-from lendframe.sources.io import read_loans, write_partitioned
+from lendframe.sources.io import as_loans, read, write_partitioned
 from lendframe.sources.registry import ModelRegistry
 
 
@@ -38,8 +38,13 @@ def validated(raw: DataFrame, out: str, on_invalid: str = "warn") -> bool:
     return ok
 
 
+def _read(spark: SparkSession, data: str) -> DataFrame:
+    """The table as it is stored: a CSV column is a number where all its values are."""
+    return read(spark, data, "parquet" if "." not in data.rsplit("/", 1)[-1] else None, infer=True)
+
+
 def _raw(spark: SparkSession, data: str) -> DataFrame:
-    return with_row_key(read_loans(spark, data, "parquet" if "." not in data.rsplit("/", 1)[-1] else None))
+    return with_row_key(as_loans(_read(spark, data)))
 
 
 def prepare(
@@ -49,8 +54,8 @@ def prepare(
 
     Medians are learned on the training split; `fit_on="all"` uses every row.
     """
+    validated(_read(spark, data), out, on_invalid)
     raw = _raw(spark, data)
-    validated(raw, out, on_invalid)
     rows = raw if fit_on == "all" else raw.filter(split.split_column() == "train")
     model = PreparationEstimator(as_of_year).fit(rows)
     model.save(f"{out}/preparation")
@@ -84,7 +89,6 @@ def train(
     trials: int = 0,
     on_invalid: str = "warn",
     params: dict[str, Any] | None = None,
-    explained_rows: int = 1000,
 ) -> str:
     """Prepare, search, train, evaluate, explain and register as staging; returns the version."""
     prepare(spark, data, out, as_of_year, on_invalid)
@@ -104,8 +108,8 @@ def train(
     version = registry.register(model, name, None, measured, params, stage="staging")
     registry.log_run(f"{name}-{version}", model, measured, params)
     if profile_name != "forest":
-        sample = split.sample_rows(prepared.filter(split.split_column() == "test"), explained_rows)
-        importance = explain.global_importance(explain.explain(model, sample), model.features)
+        rows = prepared.filter(split.split_column() == "test")
+        importance = explain.global_importance(explain.explain(model, rows), model.features)
         importance.write.mode("overwrite").parquet(f"{out}/importance")
     return version
 
@@ -128,10 +132,9 @@ def load_scorer(
 ) -> scoring.Scorer:
     preparation = PreparationModel.load(spark, f"{out}/preparation")
     registry = ModelRegistry(spark, f"{out}/registry")
-    version = registry.metadata(name).first()["version"]
     model = registry.load(name, None, stage)
     limit = scoring.DEFAULT_THRESHOLD if threshold is None else threshold
-    return scoring.Scorer(preparation, model, limit, version)
+    return scoring.Scorer(preparation, model, limit, model.version)
 
 
 def score(

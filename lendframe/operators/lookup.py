@@ -31,5 +31,5 @@ def split_by_ids(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, Da
 
 
 def align(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Rows of `left` with `columns` of `right`, matched on a row key instead of on position."""
-    return left.join(right.select(key, *columns), key)
+    """All rows of `left` with `columns` of `right`, matched on a row key; NULL where `right` has no such row."""
+    return left.join(right.select(key, *columns), key, "left")

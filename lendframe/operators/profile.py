@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +12,9 @@ from pyspark.sql import types as T
 from lendframe.functions.cleaning import credit_line_date
 from lendframe.operators.ranking import exact_quantiles, number
 
+# Pairs whose moments one aggregate holds; more pairs are more reads, not more rows.
+PAIRS_PER_READ = 100
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
@@ -192,45 +193,34 @@ def corrected_skewness(c: str) -> Column:
     return F.when(n > 2, F.skewness(c) * factor)
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature_1, feature_2, correlation) for every ordered pair, Pearson, rows with no NULL.
+def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature_1, feature_2, correlation) for every unordered pair, each over its own complete rows.
 
-    The table is read by Spark ML's correlation; only the columns-by-columns matrix reaches the driver.
+    Rows are not copied: one aggregate holds the moments of `PAIRS_PER_READ` pairs.
     """
-    names = list(columns)
-    vectors = VectorAssembler(inputCols=names, outputCol="v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in names])
-    )
-    matrix = Correlation.corr(vectors.select("v"), "v").first()[0].toArray()
-    rows = [
-        (a, b, float(matrix[i][j])) for i, a in enumerate(names) for j, b in enumerate(names)
-    ]
+    pairs = list(combinations(columns, 2))
     layout = "feature_1 string, feature_2 string, correlation double"
-    return df.sparkSession.createDataFrame(rows, layout)
+    out = df.sparkSession.createDataFrame([], layout)
+    for at in range(0, len(pairs), PAIRS_PER_READ):
+        found = [
+            F.struct(
+                F.lit(a).alias("feature_1"),
+                F.lit(b).alias("feature_2"),
+                F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias("correlation"),
+            )
+            for a, b in pairs[at : at + PAIRS_PER_READ]
+        ]
+        rows = df.agg(F.array(*found).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+        out = rows if at == 0 else out.unionByName(rows)
+    return out
 
 
-def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature_1, feature_2, correlation) for every unordered pair, each over its own complete rows."""
-    names = list(columns)
-    pairs = ", ".join(
-        f"(`{a}`, `{b}`) AS `{i},{j}`"
-        for (i, a), (j, b) in combinations(enumerate(names), 2)
-    )
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in names])
-    long = df.sparkSession.sql(
-        f"SELECT * FROM {{wide}} UNPIVOT INCLUDE NULLS ((a, b) FOR pair IN ({pairs}))", wide=wide
-    )
-    listed = F.array(*[F.lit(c) for c in names])
-    place = F.split("pair", ",")
-    return (
-        long.groupBy("pair")
-        .agg(F.corr("a", "b").alias("correlation"))
-        .select(
-            listed[place[0].cast("int")].alias("feature_1"),
-            listed[place[1].cast("int")].alias("feature_2"),
-            "correlation",
-        )
-    )
+def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature_1, feature_2, correlation) for every ordered pair, Pearson, pairwise complete."""
+    pairs = pair_correlations(df, columns)
+    turned = pairs.select(F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "correlation")
+    same = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], pairs.schema)
+    return pairs.unionByName(turned).unionByName(same)
 
 
 def correlated_pairs(df: DataFrame, columns: Sequence[str], threshold: float = 0.8) -> DataFrame:

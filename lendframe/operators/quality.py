@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendframe.operators.profile import duplicate_rows, percent, target_mix
-from lendframe.schema import LOAN_RULES, RuleSet
+from lendframe.schema import ID, LOAN_RULES, RuleSet
 
 ISSUE = "check string, column string, severity string, observed double, limit double"
 CHECKS = ("schema", "nulls", "ranges", "categories", "statistics")
@@ -170,7 +170,8 @@ def check_categories(df: DataFrame, rules: RuleSet = LOAN_RULES) -> DataFrame:
 
 
 def check_duplicates(df: DataFrame, rules: RuleSet = LOAN_RULES) -> DataFrame:
-    rows = duplicate_rows(df).select(
+    """Equal rows under different row keys count as repeats."""
+    rows = duplicate_rows(df.drop(ID)).select(
         F.lit(None).cast("string").alias("column"),
         F.lit("warning").alias("severity"),
         F.col("percent").alias("observed"),

@@ -13,9 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
-
-
 def _small(df: DataFrame, bounded: bool) -> DataFrame:
     return F.broadcast(df) if bounded else df
 
@@ -27,7 +24,7 @@ def running_totals(
     groups: Sequence[str] = (),
     descending: bool = False,
     bounded_groups: bool = False,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add `<s>_upto` (running sum, own row included) and `<s>_total` for every `s` in `sums`.
 
@@ -36,6 +33,8 @@ def running_totals(
     per-group tables are then broadcast, otherwise Spark picks the join from measured sizes.
     """
     groups = list(groups)
+    # As many ranges as shuffle partitions, so the ordering spreads over the whole cluster.
+    ranges = ranges or max(2, int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # Reading every sum keeps the columns of this branch equal to the main one, so Spark plans the
     # histogram shuffle once and reuses it.
     used = sum((F.col(s) for s in sums[1:]), F.col(sums[0])) >= 0

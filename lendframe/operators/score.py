@@ -86,9 +86,22 @@ class Scorer:
         return self.preparation.rejected(raw)
 
     def score_requests(self, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(scores of rows within bounds, refused rows with reasons)."""
-        accepted, refused = check_requests(raw)
-        return self.score(accepted), refused.select(ID, "reasons")
+        """(scores, refused rows with reasons): every row is in one of the two."""
+        accepted, _ = check_requests(raw)
+        return self.score(accepted), self.refused(raw)
+
+    def refused(self, raw: DataFrame) -> DataFrame:
+        """(loan_id, stage, reasons): rows out of bounds, and those within that preparation cannot use."""
+        accepted, outside = check_requests(raw)
+        bounds = outside.select(ID, F.lit("bounds").alias("stage"), "reasons")
+        unusable = self.preparation.rejected(accepted)
+        return bounds.unionByName(unusable.select(ID, F.lit("preparation").alias("stage"), "reasons"))
+
+    def outcomes(self, raw: DataFrame) -> DataFrame:
+        """(loan_id, outcome, stage): one row per request, `scored` or `refused`."""
+        scored, refused = self.score_requests(raw)
+        done = scored.select(ID, F.lit("scored").alias("outcome"), F.lit(None).cast("string").alias("stage"))
+        return done.unionByName(refused.select(ID, F.lit("refused").alias("outcome"), "stage"))
 
 
 def prediction_mix(scored: DataFrame) -> DataFrame:

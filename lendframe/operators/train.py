@@ -56,7 +56,8 @@ SPARK_NAMES = {
     "min_split_gain": "minInfoGain",
     "gamma": "minInfoGain",
 }
-MAX_BINS = 64
+MAX_DEPTH = 30  # the deepest tree Spark ML grows
+BINS = 64  # of a number; a category column gets as many as it has values
 
 
 def labelled(prepared: DataFrame) -> DataFrame:
@@ -65,19 +66,27 @@ def labelled(prepared: DataFrame) -> DataFrame:
     return rows.filter("label IS NOT NULL")
 
 
-def estimator(profile: str, params: Mapping[str, Any], validation_column: str | None = None):
+def bins_of(encoded: DataFrame) -> int:
+    """Bins a tree needs: `BINS`, or the values of the widest category column among the features."""
+    attributes = encoded.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    return max([BINS, *(len(a.get("vals", ())) for a in attributes.get("nominal", ()))])
+
+
+def estimator(profile: str, params: Mapping[str, Any], validation_column: str | None = None, bins: int = BINS):
     """Untrained Spark ML classifier of a profile."""
     merged = {**PROFILES[profile], **params}
     unknown = set(merged) - set(SPARK_NAMES)
     if unknown:
         raise ValueError(f"unknown parameters: {sorted(unknown)}")
     settings = {SPARK_NAMES[k]: v for k, v in merged.items()}
-    settings["maxDepth"] = min(int(settings["maxDepth"]), 30)
+    settings["maxDepth"] = int(settings["maxDepth"])
+    if settings["maxDepth"] > MAX_DEPTH:
+        raise ValueError(f"trees deeper than {MAX_DEPTH} are not supported: {settings['maxDepth']}")
     if "featureSubsetStrategy" in settings:
         share = float(settings["featureSubsetStrategy"])
         settings["featureSubsetStrategy"] = "all" if share >= 1.0 else str(share)
     common = dict(
-        featuresCol="features", labelCol="label", weightCol="weight", maxBins=MAX_BINS, seed=SEED
+        featuresCol="features", labelCol="label", weightCol="weight", maxBins=bins, seed=SEED
     )
     if profile == "forest":
         settings["numTrees"] = settings.pop("maxIter")
@@ -112,6 +121,7 @@ class LoanModel:
         self.pipeline = pipeline
         self.profile = profile
         self.features = list(features)
+        self.version: str | None = None
 
     @property
     def trees(self):
@@ -132,16 +142,13 @@ class LoanModel:
         self.pipeline.write().overwrite().save(path)
 
     @staticmethod
-    def load(path: str, profile: str = "gbt") -> "LoanModel":
-        return LoanModel(PipelineModel.load(path), profile)
+    def load(path: str, profile: str = "gbt", features: Sequence[str] = FEATURES) -> "LoanModel":
+        return LoanModel(PipelineModel.load(path), profile, features)
 
 
 def encode_rows(rows: DataFrame, profile: str, keep: Sequence[str] = ()) -> tuple[PipelineModel, DataFrame]:
     """(encoders, rows with `features`, `label` and the kept columns)."""
     labels = fitted_labels(vocabulary(rows, CATEGORICAL))
-    too_wide = {c: len(v) for c, v in labels.items() if len(v) + 1 > MAX_BINS}
-    if too_wide:
-        raise ValueError(f"more than {MAX_BINS} categories: {too_wide}")
     encoders = PipelineModel(encoder_stages(labels, profile))
     return encoders, encoders.transform(rows).select(*keep, "features", "label")
 
@@ -180,7 +187,7 @@ def fit(
             ready = weighted(encoded, counts["neg"], counts["pos"])
         else:
             ready = encoded.withColumn("weight", F.lit(1.0))
-        trees = estimator(profile, params or {}, mark).fit(ready)
+        trees = estimator(profile, params or {}, mark, bins_of(ready)).fit(ready)
     finally:
         encoded.unpersist()
     return LoanModel(PipelineModel([*encoders.stages, trees]), profile)
@@ -234,7 +241,7 @@ def held_out_scores(
         neg = sum(n for f, (n, _) in counts.items() if f != k)
         pos = sum(p for f, (_, p) in counts.items() if f != k)
         training = weighted(encoded.filter(F.col("fold") != k), neg, pos)
-        trees = estimator(profile, params).fit(training)
+        trees = estimator(profile, params, bins=bins_of(training)).fit(training)
         held = trees.transform(encoded.filter(F.col("fold") == k))
         return held.select("fold", "label", vector_to_array("probability")[1].alias("score"))
 

@@ -12,7 +12,7 @@ from lendframe.operators.features import default_registry
 from lendframe.operators.lookup import align
 from lendframe.operators.search import Search
 from lendframe.operators.split import split_column
-from lendframe.plans.catalog import AS_OF_YEAR, query
+from lendframe.plans.catalog import AS_OF_YEAR, LINE_DATE_SQL, PREPARED_PARTS, query
 from lendframe.plans.loans import loans, table
 from lendframe.plans.preparation import fitted, prepared, stored
 from lendframe.sources import ingest
@@ -97,7 +97,7 @@ _SPACE = {
 def search_history(spark, sf_dir):
     rows = stored(spark, sf_dir)
     search = Search("gbt", _SPACE, folds=3)
-    search.tune(rows, trials=3, method="halving", shares=(0.3, 1.0), used_folds=1)
+    search.tune(rows, trials=3, method="halving", shares=(0.3, 1.0))
     return search.history(rows)
 
 
@@ -105,7 +105,7 @@ def search_history(spark, sf_dir):
 def search_random(spark, sf_dir):
     rows = stored(spark, sf_dir)
     search = Search("gbt", _SPACE, folds=3)
-    search.tune(rows, trials=2, method="random", used_folds=1)
+    search.tune(rows, trials=2, method="random")
     return search.history(rows)
 
 
@@ -138,6 +138,38 @@ def score_requests(spark, sf_dir):
     return scorer.score_requests(loans(spark, sf_dir).drop("loan_status"))[0]
 
 
+_OUTCOME_BOUNDS = "annual_inc IS NULL OR annual_inc < 0"
+
+
+@query(
+    "request_outcomes",
+    f"SELECT loan_id, CASE WHEN {_OUTCOME_BOUNDS} OR annual_inc <= 0 OR total_acc <= 0 OR {LINE_DATE_SQL} IS NULL "
+    f"THEN 'refused' ELSE 'scored' END AS outcome, CASE WHEN {_OUTCOME_BOUNDS} THEN 'bounds' "
+    f"WHEN annual_inc <= 0 OR total_acc <= 0 OR {LINE_DATE_SQL} IS NULL THEN 'preparation' END AS stage FROM loans",
+)
+def request_outcomes(spark, sf_dir):
+    """Every request once: scored, or refused by the bounds or by preparation."""
+    scorer = score.Scorer(fitted(spark, sf_dir, include_target=False), model_of(spark, sf_dir))
+    return scorer.outcomes(loans(spark, sf_dir).drop("loan_status"))
+
+
+@query(
+    "score_invariants",
+    f"SELECT loan_id, TRUE AS sums_to_one, TRUE AS within, TRUE AS fits_threshold, TRUE AS confident FROM prepared",
+    PREPARED_PARTS,
+)
+def score_invariants(spark, sf_dir):
+    """Per scored loan: what must hold between its measures."""
+    scored = score.score(model_of(spark, sf_dir), prepared(spark, sf_dir), 0.5, "v1")
+    return scored.select(
+        "loan_id",
+        (F.abs(F.col("p_repaid") + F.col("p_default") - 1) < 1e-12).alias("sums_to_one"),
+        F.col("p_repaid").between(0, 1).alias("within"),
+        ((F.col("prediction") == 1) == (F.col("p_repaid") >= F.col("threshold"))).alias("fits_threshold"),
+        (F.col("confidence") >= 0.5).alias("confident"),
+    )
+
+
 @query("prediction_mix")
 def prediction_mix(spark, sf_dir):
     return score.prediction_mix(score.score(model_of(spark, sf_dir), prepared(spark, sf_dir)))
@@ -259,13 +291,22 @@ def feature_sets(spark, sf_dir):
 
 # Files and schemas
 
-_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
+# Names of the same types in the two engines.
+_TYPES_SQL = (
+    "CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'FLOAT[]' THEN 'array<float>' "
+    "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' ELSE lower(column_type) END"
+)
 
 
 @query(
     "schema_inventory",
     " UNION ALL ".join(
         f"SELECT table_name AS \"table\", CAST(ordinal_position - 1 AS INTEGER) AS position, column_name AS \"column\", "
+        f"{_TYPES_SQL} AS type, "
         f"(SELECT count(*) FROM {t}) AS rows FROM (SELECT *, row_number() OVER () AS ordinal_position, "
         f"'{t}' AS table_name FROM (DESCRIBE {t})) d"
         for t in _TABLES
@@ -273,7 +314,7 @@ _TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineit
     (),
 )
 def inventory(spark, sf_dir):
-    return schema_inventory({t: table(spark, sf_dir, t) for t in _TABLES}).drop("type")
+    return schema_inventory({t: table(spark, sf_dir, t) for t in _TABLES})
 
 
 @query("file_listing")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations, permutations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,18 +134,26 @@ def distinct_counts_approx(spark, sf_dir):
     return profile.distinct_counts(loans(spark, sf_dir), approximate=True)
 
 
-_UNKEYED = [c for c in RAW_COLUMNS if c not in ("loan_id", "loan_amnt", "installment", "earliest_cr_line", "issue_d", "revol_bal")]
+_UNKEYED = [c for c in RAW_COLUMNS if c != "loan_id"]
+# Loans of which every seventh comes twice, the second time under a new key.
+_REPEATED_SQL = "(SELECT * FROM loans UNION ALL SELECT * REPLACE (loan_id + 10000000 AS loan_id) FROM loans WHERE loan_id % 7 = 0)"
+
+
+def _repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = loans(spark, sf_dir)
+    again = rows.filter("loan_id % 7 = 0").withColumn("loan_id", F.col("loan_id") + 10000000)
+    return rows.unionByName(again)
 
 
 @query(
     "duplicate_rows",
     f"SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n - 1) AS BIGINT) AS duplicate_rows, "
     "round(CAST(sum(n - 1) AS DOUBLE) * 1e2 / CAST(sum(n) AS DOUBLE), 6) AS percent "
-    "FROM (SELECT count(*) AS n FROM loans "
+    f"FROM (SELECT count(*) AS n FROM {_REPEATED_SQL} l "
     f"GROUP BY {', '.join(_UNKEYED)}) g",
 )
 def duplicate_rows(spark, sf_dir):
-    return _rounded(profile.duplicate_rows(loans(spark, sf_dir, _UNKEYED)), ["percent"])
+    return _rounded(profile.duplicate_rows(_repeated(spark, sf_dir).drop("loan_id")), ["percent"])
 
 
 @query(
@@ -231,6 +239,23 @@ def correlation_matrix(spark, sf_dir):
     return _rounded(profile.correlation_matrix(coded, _MATRIX), ["correlation"])
 
 
+_GAPPED = ["mort_acc", "revol_util", "pub_rec_bankruptcies", "dti", "annual_inc"]
+
+
+@query(
+    "correlation_matrix_gaps",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, "
+        f"round(corr({a}, {b}), 6) AS correlation FROM loans"
+        for a, b in permutations(_GAPPED, 2)
+    )
+    + "".join(f" UNION ALL SELECT '{c}', '{c}', 1e0" for c in _GAPPED),
+)
+def correlation_matrix_gaps(spark, sf_dir):
+    """Columns with missing values: every pair over the rows that have both."""
+    return _rounded(profile.correlation_matrix(loans(spark, sf_dir, _GAPPED), _GAPPED), ["correlation"])
+
+
 @query(
     "correlated_pairs",
     "WITH c AS ("
@@ -401,11 +426,11 @@ _CATEGORIES_SQL = (
 )
 
 
-def _duplicates_sql(columns: list[str]) -> str:
+def _duplicates_sql(source: str = "loans") -> str:
     return (
         "SELECT * FROM (SELECT 'duplicates' AS \"check\", CAST(NULL AS VARCHAR) AS \"column\", 'warning' AS severity, "
         "round(CAST(sum(n - 1) AS DOUBLE) * 1e2 / CAST(sum(n) AS DOUBLE), 6) AS observed, 5e0 AS \"limit\" FROM "
-        f"(SELECT count(*) AS n FROM loans GROUP BY {', '.join(columns)}) g) d WHERE observed > \"limit\""
+        f"(SELECT count(*) AS n FROM {source} l GROUP BY {', '.join(_UNKEYED)}) g) d WHERE observed > \"limit\""
     )
 
 
@@ -441,12 +466,9 @@ def check_categories(spark, sf_dir):
     return quality.check_categories(loans(spark, sf_dir))
 
 
-_REPEATING = ["grade", "term", "home_ownership", "purpose", "application_type"]
-
-
-@query("check_duplicates", _duplicates_sql(_REPEATING))
+@query("check_duplicates", _duplicates_sql(_REPEATED_SQL))
 def check_duplicates(spark, sf_dir):
-    return _rounded(quality.check_duplicates(loans(spark, sf_dir, _REPEATING)), ["observed"])
+    return _rounded(quality.check_duplicates(_repeated(spark, sf_dir)), ["observed"])
 
 
 @query("check_imbalance", _IMBALANCE_SQL)
@@ -455,7 +477,7 @@ def check_imbalance(spark, sf_dir):
 
 
 _ISSUES_SQL = " UNION ALL ".join(
-    [_SCHEMA_SQL, _NULLS_SQL, _RANGES_SQL, _CATEGORIES_SQL, _duplicates_sql(RAW_COLUMNS), _IMBALANCE_SQL]
+    [_SCHEMA_SQL, _NULLS_SQL, _RANGES_SQL, _CATEGORIES_SQL, _duplicates_sql(), _IMBALANCE_SQL]
 )
 
 

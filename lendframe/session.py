@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,7 +28,7 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the checkpoint folder the session names.
 
-    A temporary folder is used only where the session names none and runs on this machine.
+    Only where the session names none and is a single process is a temporary folder set in its place.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -35,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     local = "file:" + tempfile.mkdtemp(prefix="lendframe-")
     spark.sparkContext.setCheckpointDir(local)
@@ -65,12 +66,3 @@ def local_copy(df: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame | None:
         return None
     return df.sparkSession.createDataFrame(rows, df.schema)
 
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition a scan that has fewer partitions than the session has cores.
-
-    One small file is a single task however many cores are free. A scan with enough partitions, the
-    usual case for large tables, is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -97,11 +97,9 @@ def write_partitioned(df: DataFrame, path: str, by: str = TARGET, mode: str = "o
     df.write.mode(mode).partitionBy(by).parquet(path)
 
 
-def write_single_file(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    """One Parquet file through one task; refused above `max_rows`."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: write a folder instead")
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+def write_single_file(df: DataFrame, path: str) -> None:
+    """One Parquet file. Only the writing is one task; what leads to `df` stays parallel."""
+    df.repartition(1).write.mode("overwrite").parquet(path)
 
 
 class ObjectStore:

@@ -107,6 +107,9 @@ class ModelRegistry:
         if stage not in STAGES:
             raise ValueError(f"stage must be one of {STAGES}")
         version = version or new_version()
+        same = (F.col("name") == name) & (F.col("version") == version) & (F.col("event") == "register")
+        if not self.events().filter(same).isEmpty():
+            raise ValueError(f"{name} has a version {version} already")
         path = f"{self.base}/models/{name}/{version}"
         model.save(path)
         row = (
@@ -157,10 +160,12 @@ class ModelRegistry:
             if held is None:
                 raise ValueError(f"no {stage} version of {name}")
             version = held
-        found = self.metadata(name, version).select("path", "algorithm").first()
+        found = self.metadata(name, version).first()
         if found is None:
             raise ValueError(f"unknown version of {name}: {version}")
-        return LoanModel.load(found["path"], found["algorithm"])
+        model = LoanModel.load(found["path"], found["algorithm"], found["feature_names"])
+        model.version = found["version"]
+        return model
 
     def models(self) -> DataFrame:
         return model_list(self.events())

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lendframe.operators.requests import check_requests
 from lendframe.operators.score import Scorer
-from lendframe.schema import ID, LOAN_SCHEMA
+from lendframe.schema import LOAN_SCHEMA
 from lendframe.sources.ingest import log_rows
 from lendframe.sources.io import format_of
 
@@ -62,11 +62,10 @@ def score_stream(
 
 
 def refuse_stream(
-    rows: DataFrame, out: str, checkpoint: str, available_now: bool = True
+    scorer: Scorer, rows: DataFrame, out: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Write the key and the reasons of refused applications."""
-    _, refused = check_requests(rows)
-    return _to_files(refused.select(ID, "reasons"), out, checkpoint, available_now)
+    """Write key, stage and reasons of the applications that `score_stream` leaves out."""
+    return _to_files(scorer.refused(rows), out, checkpoint, available_now)
 
 
 def _to_files(df: DataFrame, out: str, checkpoint: str, available_now: bool) -> StreamingQuery:

@@ -9,7 +9,7 @@ QUICK = {"n_estimators": 2, "max_depth": 2, "min_child_samples": 5}
 def test_train_evaluate_and_score(spark, raw, tmp_path):
     data, out = f"{tmp_path}/loans.csv", f"file:{tmp_path}/out"
     io.write(raw, data)
-    version = runs.train(spark, data, out, 2025, params=QUICK, explained_rows=50)
+    version = runs.train(spark, data, out, 2025, params=QUICK)
     assert spark.read.parquet(f"{out}/prepared").count() == 1000
     assert not spark.read.parquet(f"{out}/issues").isEmpty()
     assert {r["split"] for r in spark.read.parquet(f"{out}/evaluation").collect()} == {"train", "test"}

@@ -57,8 +57,6 @@ def test_partitioned_output_is_pruned_and_single_file_is_guarded(spark, raw, tmp
     assert paid.count() == raw.filter("loan_status = 'Fully Paid'").count()
     io.write_single_file(raw, f"{tmp_path}/one")
     assert len(list((tmp_path / "one").glob("part-*"))) == 1
-    with pytest.raises(ValueError):
-        io.write_single_file(raw, f"{tmp_path}/two", max_rows=10)
 
 
 def test_warehouse_options(spark, raw):
@@ -167,18 +165,20 @@ def test_stream_scores_equal_batch_scores_and_survive_a_restart(spark, raw, scor
     def run():
         rows = jobs.loan_stream(spark, folder, files_per_batch=1)
         a = jobs.score_stream(scorer, rows, out, f"{tmp_path}/c1")
-        b = jobs.refuse_stream(rows, refused, f"{tmp_path}/c2")
+        b = jobs.refuse_stream(scorer, rows, refused, f"{tmp_path}/c2")
         a.awaitTermination(120)
         b.awaitTermination(120)
 
-    first.unionByName(bad).write.mode("append").json(folder)
+    undated = first.limit(3).withColumn("earliest_cr_line", F.lit("xx")).withColumn("loan_id", F.col("loan_id") + 7000)
+    first.unionByName(bad).unionByName(undated).write.mode("append").json(folder)
     run()
     second.write.mode("append").json(folder)
     run()
     run()
     batch, _ = scorer.score_requests(raw)
     assert same(spark.read.parquet(out), batch) and batch.count() == 1000
-    assert spark.read.parquet(refused).count() == 4
+    left_out = spark.read.parquet(refused).groupBy("stage").count().collect()
+    assert {r["stage"]: r["count"] for r in left_out} == {"bounds": 4, "preparation": 3}
     scorer.set_threshold(0.9)
     assert scorer.score(raw).first()["threshold"] == 0.9
     scorer.set_threshold(0.5)
