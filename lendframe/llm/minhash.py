@@ -38,7 +38,7 @@ _CHUNK = 2048  # shingles hashed at once, a memory bound
 # Members up to which a bucket's open pairs are listed; larger buckets are compared chunk by chunk.
 SMALL_BUCKET = 16
 CHUNK_SHINGLES = 60_000  # of a chunk, on average
-COLUMNS_AT_ONCE = 8_192  # a memory bound
+CELLS_AT_ONCE = 8_000_000  # of the grid of members and shingles, a memory bound
 
 
 def band_rows(threshold: float, bands: int = BANDS) -> int:
@@ -248,33 +248,27 @@ def _chunk_links(left: list[dict], right: list[dict], percent: int) -> list[tupl
     held = [np.asarray(m["shingles"], np.int64) for m in both]
     # Shingles that one member alone holds meet no other; the rest become columns.
     values, column, count = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
-    narrow = np.cumsum(count > 1) - 1
     size = np.array([len(x) for x in held])
-    row = np.repeat(np.arange(len(both)), size)
     use = count[column] > 1
-    width = int((count > 1).sum())
-    common = np.zeros((len(left), len(right)), np.float32)
-    for at in range(0, width, COLUMNS_AT_ONCE):
-        part = use & (narrow[column] >= at) & (narrow[column] < at + COLUMNS_AT_ONCE)
-        grid = np.zeros((len(both), min(COLUMNS_AT_ONCE, width - at)), np.float32)
-        grid[row[part], narrow[column[part]] - at] = 1
-        common += grid[: len(left)] @ grid[len(left) :].T
-    total = size[: len(left), None] + size[None, len(left) :] - common
-    parent = {m["component"]: m["component"] for m in both}
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
+    row = np.repeat(np.arange(len(both)), size)[use]
+    column = (np.cumsum(count > 1) - 1)[column[use]]
+    width, step, n = int((count > 1).sum()), max(1, CELLS_AT_ONCE // len(both)), len(left)
+    common = np.zeros((n, len(right)), np.float32)
+    for at in range(0, width, step):
+        part = (column >= at) & (column < at + step)
+        grid = np.zeros((len(both), min(step, width - at)), np.float32)
+        grid[row[part], column[part] - at] = 1
+        common += grid[:n] @ grid[n:].T
+    # Components by number; row by row, so that many links of few components are never listed.
+    group = np.unique([m["component"] for m in both], return_inverse=True)[1]
     out = []
-    for i, j in np.argwhere(100 * common.astype(np.int64) >= percent * total.astype(np.int64)).tolist():
-        a, b = left[i], right[j]
-        x, y = find(a["component"]), find(b["component"])
-        if x != y:
-            parent[x] = y
-            out.append((min(a["node"], b["node"]), max(a["node"], b["node"])))
+    for i in range(n):
+        shared = common[i].astype(np.int64)
+        near = 100 * shared >= percent * (size[i] + size[n:] - shared)
+        for j in np.flatnonzero(near & (group[n:] != group[i])).tolist():
+            if group[n + j] != group[i]:
+                group[group == group[n + j]] = group[i]
+                out.append((min(node[i], node[n + j]), max(node[i], node[n + j])))
     return out
 
 
