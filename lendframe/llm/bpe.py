@@ -1,8 +1,9 @@
 """Byte-pair encoding and decoding of whole texts under a given vocabulary.
 
-Method: contiguous rank array. A short word keeps its part boundaries and the rank of every adjacent
-pair in two flat arrays; the minimum rank is found by scanning, its boundary is deleted, and only the two
-neighbouring ranks are looked up again. Words repeat, so a task remembers what it encoded.
+Method: contiguous rank array. A short word keeps its parts, one between every two boundaries, and the rank of
+every adjacent pair in two flat arrays; the minimum rank is found by scanning, its boundary is deleted, and only
+the two neighbouring ranks are looked up again. Parts are ids, so a pair is looked up by one number. Words
+repeat, so a task remembers what it encoded.
 
 Rows: one per input row. A null text counts as empty: no ids, empty decoded text. Repeated rows, ties
 and extra columns need no care, since every row is encoded by itself.
@@ -23,6 +24,7 @@ from lendframe.llm.common import REMEMBERED_WORDS, per_text
 # The pre-tokeniser pattern that belongs to the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _NO_RANK = 1 << 62
+_SHIFT = 32  # a pair of ids is the number first << _SHIFT | second
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -44,14 +46,20 @@ class Vocabulary:
             self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
             self.bytes_of = {i: as_bytes(s) for s, i in spec["model"]["vocab"].items() if s not in self.special}
             merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
-            self.ranks = {(as_bytes(a), as_bytes(b)): r for r, (a, b) in enumerate(merges)}
+            pairs = [(as_bytes(a), as_bytes(b)) for a, b in merges]
         else:
             with open(path, "rb") as f:
                 ids = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.special = {}
             self.bytes_of = {i: b for b, i in ids.items()}
-            self.ranks = _PairRanks(ids)
+            pairs = None
         self.ids = {b: i for i, b in self.bytes_of.items()}
+        if pairs is None:
+            self.ranks, self.merged = _PairRanks(self), range(max(self.bytes_of) + 1)
+        else:
+            self.ranks = {self.ids[a] << _SHIFT | self.ids[b]: r for r, (a, b) in enumerate(pairs)}
+            self.merged = [self.ids[a + b] for a, b in pairs]
+        self.byte_ids = [self.ids.get(bytes([b])) for b in range(256)]
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
         self.pattern = regex.compile(PATTERN)
         self.split_special = (
@@ -62,34 +70,31 @@ class Vocabulary:
 
     def merge(self, word: bytes) -> list[int]:
         """Token ids of one pre-token."""
-        if word in self.ids and len(word) == 1:
-            return [self.ids[word]]
-        rank = self.ranks.get
-        bounds = list(range(len(word) + 1))
-        ranks = [rank((word[i : i + 1], word[i + 1 : i + 2]), _NO_RANK) for i in range(len(word) - 1)]
+        parts = [self.byte_ids[b] for b in word]
+        rank, merged = self.ranks.get, self.merged
+        ranks = [rank(a << _SHIFT | b, _NO_RANK) for a, b in zip(parts, parts[1:])]
         while ranks:
             low = min(ranks)
             if low == _NO_RANK:
                 break
             at = ranks.index(low)
-            del bounds[at + 1], ranks[at]
+            parts[at] = merged[low]
+            del parts[at + 1], ranks[at]
             if at < len(ranks):
-                a, b, c = bounds[at : at + 3]
-                ranks[at] = rank((word[a:b], word[b:c]), _NO_RANK)
+                ranks[at] = rank(parts[at] << _SHIFT | parts[at + 1], _NO_RANK)
             if at:
-                a, b, c = bounds[at - 1 : at + 2]
-                ranks[at - 1] = rank((word[a:b], word[b:c]), _NO_RANK)
-        return [self.ids[word[a:b]] for a, b in zip(bounds, bounds[1:])]
+                ranks[at - 1] = rank(parts[at - 1] << _SHIFT | parts[at], _NO_RANK)
+        return parts
 
 
 class _PairRanks:
-    """Ranks of pairs in a file that ranks the merged bytes."""
+    """Ranks of pairs in a file that ranks the merged bytes: there a rank is the id of the merged part."""
 
-    def __init__(self, ids: dict[bytes, int]):
-        self._ids = ids
+    def __init__(self, vocabulary: Vocabulary):
+        self._of, self._ids = vocabulary.bytes_of, vocabulary.ids
 
-    def get(self, pair: tuple[bytes, bytes], default: int) -> int:
-        return self._ids.get(pair[0] + pair[1], default)
+    def get(self, pair: int, default: int) -> int:
+        return self._ids.get(self._of[pair >> _SHIFT] + self._of[pair & (1 << _SHIFT) - 1], default)
 
 
 class Encoder(dict):
