@@ -19,7 +19,10 @@ from collections.abc import Callable
 import regex
 from pyspark.sql import DataFrame
 
-from lendframe.llm.common import REMEMBERED_WORDS, per_text
+from lendframe.llm.common import per_text
+
+# Pre-tokens in each of the two generations a task remembers; a memory bound, not a limit on input.
+REMEMBERED = 150_000
 
 # The pre-tokeniser pattern that belongs to the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -98,18 +101,24 @@ class _PairRanks:
 
 
 class Encoder(dict):
-    """Pre-token -> its ids as decimal texts; the memory of one task."""
+    """Pre-token -> its ids as decimal texts; the memory of one task.
+
+    A full memory becomes the older generation, from which words that are met again are taken over.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.older = vocabulary, {}
 
     def __missing__(self, word: str) -> str:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
+        value = self.older.get(word)
+        if value is None:
+            value = ",".join(map(str, self.vocabulary.merge(word.encode())))
         # A very long pre-token is encoded by the same rule; only its result is not remembered.
-        value = ",".join(map(str, self.vocabulary.merge(word.encode())))
         if len(word) <= 64:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
             self[word] = value
         return value
 
