@@ -10,6 +10,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from lendframe.jobs import runs
+from lendframe.operators.train import PATIENCE
 from lendframe.session import tune
 
 
@@ -23,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--as-of-year", type=int, required=True)
     parser.add_argument("--on-invalid", default="warn", choices=["warn", "raise"])
     parser.add_argument("--trials", type=int, default=0, help="search trials before training")
+    parser.add_argument("--patience", type=int, default=PATIENCE, help="boosting rounds without gain before it stops")
     parser.add_argument("--threshold", type=float, default=None)
     a = parser.parse_args(argv)
     spark = tune(SparkSession.builder.appName(f"lendframe-{a.job}").getOrCreate())
@@ -31,7 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "etl":
         runs.etl(spark, a.data, a.out, a.as_of_year)
     elif a.job == "train":
-        runs.train(spark, a.data, a.out, a.as_of_year, a.model_name, a.profile, a.trials, a.on_invalid)
+        runs.train(spark, a.data, a.out, a.as_of_year, a.model_name, a.profile, a.trials, a.on_invalid, patience=a.patience)
     elif a.job == "evaluate":
         runs.evaluate(spark, a.data, a.out, a.model_name, a.threshold)
     else:

@@ -89,6 +89,7 @@ def train(
     trials: int = 0,
     on_invalid: str = "warn",
     params: dict[str, Any] | None = None,
+    patience: int = training.PATIENCE,
 ) -> str:
     """Prepare, search, train, evaluate, explain and register as staging; returns the version."""
     prepare(spark, data, out, as_of_year, on_invalid)
@@ -98,7 +99,7 @@ def train(
         search = Search(profile_name)
         params = search.tune(prepared.filter(split.split_column() == "train"), trials, "halving")
         search.history(prepared).write.mode("overwrite").parquet(f"{out}/search")
-    model, by_split = training.train_and_evaluate(prepared, profile_name, params)
+    model, by_split = training.train_and_evaluate(prepared, profile_name, params, patience=patience)
     by_split = by_split.persist(StorageLevel.MEMORY_AND_DISK)
     by_split.write.mode("overwrite").parquet(f"{out}/evaluation")
     test = by_split.filter("split = 'test'").first().asDict()

@@ -57,6 +57,7 @@ SPARK_NAMES = {
     "gamma": "minInfoGain",
 }
 MAX_DEPTH = 30  # the deepest tree Spark ML grows
+PATIENCE = 50  # rounds without a lower validation loss after which boosting stops
 BINS = 64  # of a number; a category column gets as many as it has values
 
 
@@ -72,7 +73,7 @@ def bins_of(encoded: DataFrame) -> int:
     return max([BINS, *(len(a.get("vals", ())) for a in attributes.get("nominal", ()))])
 
 
-def estimator(profile: str, params: Mapping[str, Any], validation_column: str | None = None, bins: int = BINS):
+def estimator(profile: str, params: Mapping[str, Any], bins: int = BINS):
     """Untrained Spark ML classifier of a profile."""
     merged = {**PROFILES[profile], **params}
     unknown = set(merged) - set(SPARK_NAMES)
@@ -92,8 +93,6 @@ def estimator(profile: str, params: Mapping[str, Any], validation_column: str |
         settings["numTrees"] = settings.pop("maxIter")
         settings.pop("stepSize", None)
         return RandomForestClassifier(**common, **settings)
-    if validation_column is not None:
-        settings.update(validationIndicatorCol=validation_column, validationTol=0.0)
     return GBTClassifier(**common, **settings, checkpointInterval=10)
 
 
@@ -161,14 +160,46 @@ def weighted(encoded: DataFrame, neg: int, pos: int) -> DataFrame:
     return encoded.withColumn("weight", weight)
 
 
+def best_rounds(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """(rounds up to the lowest loss, whether `patience` rounds without a lower one followed it)."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def boosted(trees: GBTClassifier, rows: DataFrame, validation: DataFrame, patience: int):
+    """Boosted trees of the rounds up to the lowest validation loss.
+
+    Spark's own rule stops at the first round without gain. Here more rounds are grown, twice as many each
+    time, until `patience` of them brought no gain; a tree depends on its seed and the trees before it only,
+    so growing the best number of rounds anew gives the same trees.
+    """
+    most = trees.getMaxIter()
+    if validation.isEmpty():
+        return trees.fit(rows)
+    rounds = min(most, max(1, 2 * patience))
+    while True:
+        grown = trees.copy({trees.maxIter: rounds}).fit(rows)
+        best, settled = best_rounds(grown.evaluateEachIteration(validation), patience)
+        if settled or rounds == most:
+            return grown if best == rounds else trees.copy({trees.maxIter: best}).fit(rows)
+        rounds = min(most, 2 * rounds)
+
+
 def fit(
     rows: DataFrame,
     profile: str = "gbt",
     params: Mapping[str, Any] | None = None,
     validation: DataFrame | None = None,
     class_weighted: bool = True,
+    patience: int = PATIENCE,
 ) -> LoanModel:
-    """Train on labelled rows; with `validation` rows, boosting stops when they no longer improve.
+    """Train on labelled rows; with `validation` rows, boosting stops after `patience` rounds without gain on
+    them, and the rounds after the best one are cut off.
 
     The encoded rows are kept on executors (memory, then disk) while the trees are grown.
     """
@@ -187,7 +218,11 @@ def fit(
             ready = weighted(encoded, counts["neg"], counts["pos"])
         else:
             ready = encoded.withColumn("weight", F.lit(1.0))
-        trees = estimator(profile, params or {}, mark, bins_of(ready)).fit(ready)
+        untrained = estimator(profile, params or {}, bins_of(ready))
+        if mark:
+            trees = boosted(untrained, ready.filter(~F.col(mark)), ready.filter(mark), patience)
+        else:
+            trees = untrained.fit(ready)
     finally:
         encoded.unpersist()
     return LoanModel(PipelineModel([*encoders.stages, trees]), profile)
@@ -204,12 +239,16 @@ def split_metrics(model: LoanModel, rows: DataFrame, by: str = "split") -> DataF
 
 
 def train_and_evaluate(
-    prepared: DataFrame, profile: str = "gbt", params: Mapping[str, Any] | None = None, test_percent: int = 20
+    prepared: DataFrame,
+    profile: str = "gbt",
+    params: Mapping[str, Any] | None = None,
+    test_percent: int = 20,
+    patience: int = PATIENCE,
 ) -> tuple[LoanModel, DataFrame]:
     """(model, metrics of the train and test splits); the test split also stops the boosting."""
     rows = labelled(prepared).withColumn("split", split_column(ID, test_percent))
     parts = {s: rows.filter(F.col("split") == s) for s in ("train", "test")}
-    model = fit(parts["train"].drop("split"), profile, params, parts["test"].drop("split"))
+    model = fit(parts["train"].drop("split"), profile, params, parts["test"].drop("split"), patience=patience)
     return model, split_metrics(model, rows)
 
 
@@ -241,7 +280,7 @@ def held_out_scores(
         neg = sum(n for f, (n, _) in counts.items() if f != k)
         pos = sum(p for f, (_, p) in counts.items() if f != k)
         training = weighted(encoded.filter(F.col("fold") != k), neg, pos)
-        trees = estimator(profile, params, bins=bins_of(training)).fit(training)
+        trees = estimator(profile, params, bins_of(training)).fit(training)
         held = trees.transform(encoded.filter(F.col("fold") == k))
         return held.select("fold", "label", vector_to_array("probability")[1].alias("score"))
 

@@ -23,9 +23,6 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
     assert compare(QUERIES[name](spark, sf_dir), duck, ORACLES[name]) is None
 
 
-FAST = [n for n in ROWS_ONLY if not n.startswith(("cv_", "search_", "shap_"))]
-
-
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", ROWS_ONLY)
 def test_query_without_sql_runs(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0

@@ -70,8 +70,23 @@ def test_unseen_categories_and_missing_features(model, prepared):
 def test_training_stops_early_on_validation_rows(prepared):
     rows = train.labelled(prepared)
     held = rows.filter(split.split_column() == "test")
-    long = train.fit(rows.filter(split.split_column() == "train"), "gbt", {**PARAMS, "n_estimators": 40}, held)
-    assert 1 <= len(long.trees.trees) < 40
+    known = rows.filter(split.split_column() == "train")
+    params = {**PARAMS, "n_estimators": 40}
+    stopped = train.fit(known, "gbt", params, held, patience=3).trees
+    assert 1 <= stopped.getNumTrees < 40
+    # The same trees as those of a run without a stop, cut where its validation loss allows.
+    part = train.fit(known, "gbt", {**params, "n_estimators": stopped.getNumTrees}, None).trees
+    assert part.toDebugString.split("\n", 1)[1] == stopped.toDebugString.split("\n", 1)[1]
+    whole = train.fit(known, "gbt", {**params, "n_estimators": 6}, held.limit(0)).trees
+    assert whole.getNumTrees == 6
+
+
+def test_a_dip_shorter_than_the_patience_does_not_stop():
+    losses = [5.0, 4.0, 4.5, 4.2, 3.0, 3.1, 3.2, 3.3, 2.0]
+    assert train.best_rounds(losses, 2) == (2, True)
+    assert train.best_rounds(losses, 3) == (5, True)
+    assert train.best_rounds(losses, 4) == (9, False)
+    assert train.best_rounds([1.0], 1) == (1, False)
 
 
 def test_class_weight(prepared):
