@@ -3,8 +3,8 @@
 Method: Bradley-Terry. A document marked good is preferred to one marked poor; the chance of that
 preference is the logistic function of the difference of their scores, and a score is linear in features
 of the text alone. So the weights are a logistic regression without intercept on feature differences.
-The raw score is then mapped to 0..1 such that `ACCEPT` lies at a quantile of the training scores: the
-share of poor documents among them.
+The raw score is then mapped to 0..1 such that `ACCEPT` lies at a quantile of the scores of all documents
+the labels agree on, sampled for the weights or not: the share of poor documents among them.
 
 Rows: one per input row. Null and empty texts have all features 0 and get a score like any other text.
 Labels: a document marked both good and poor, or marked null, is not used. If either class is missing,
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
@@ -24,9 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendframe.llm.common import per_text
+from lendframe.operators.ranking import exact_quantiles
+from lendframe.session import LOOKUP_ROWS, materialise
 
 ACCEPT = 0.7
-# Bound of the labelled sample the weights are learned from, per class; scoring covers every row.
+# Bound of the labelled sample the weights are learned from, per class; threshold and scoring cover every row.
 SAMPLE_PER_CLASS = 4_000
 PAIRS_PER_DOCUMENT = 4
 REGULARISATION = 1e-4
@@ -98,9 +100,9 @@ class QualityModel:
         return 1 / (1 + math.exp(-min(max(logit, -500.0), 500.0)))
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """At most `SAMPLE_PER_CLASS` labelled ids per class, those with the lowest hashes."""
-    agreed = (
+def _agreed(labels: DataFrame) -> DataFrame:
+    """_id, quality and _order of the ids whose labels agree."""
+    return (
         labels.select("doc_id", "quality")
         .where("doc_id IS NOT NULL AND quality IN (0, 1)")
         .groupBy("doc_id")
@@ -108,16 +110,41 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .where("quality = _most")
         .select(F.col("doc_id").alias("_id"), "quality", F.xxhash64("doc_id").alias("_order"))
     )
+
+
+def _sample(docs: DataFrame, agreed: DataFrame) -> DataFrame:
+    """At most `SAMPLE_PER_CLASS` labelled ids per class, those with the lowest hashes."""
     known = [agreed.where(F.col("quality") == q).orderBy("_order", "_id").limit(SAMPLE_PER_CLASS) for q in (0, 1)]
     ids = known[0].unionByName(known[1])
     # Bounded by 2 * SAMPLE_PER_CLASS rows, so the texts are not shuffled.
     return docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
 
 
+def _threshold(docs: DataFrame, agreed: DataFrame, model: QualityModel) -> float:
+    """The raw score between the lowest scores, as many as there are poor documents, and the others."""
+    ids = agreed.select(F.col("_id").alias("doc_id"), "quality")
+
+    def start() -> Callable[[str | None], tuple]:
+        return lambda t: (float(model.raw(np.array(features(t)))),)
+
+    named = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
+    if ids.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS:
+        scored = per_text(named.join(F.broadcast(ids), "doc_id"), "text", ("doc_id", "quality"), "raw double", start)
+    else:
+        # Too many ids to broadcast: scores are joined, so that texts are not shuffled.
+        scored = per_text(named, "text", ("doc_id",), "raw double", start).join(ids, "doc_id")
+    # A document whose rows are repeated counts once.
+    once = scored.groupBy("doc_id").agg(F.max("raw").alias("raw"), F.max("quality").alias("quality"))
+    once = materialise(once, "labelled-scores")
+    n, poor = once.agg(F.count(F.lit(1)), F.sum(1 - F.col("quality"))).first()
+    return exact_quantiles(once, ["raw"], [(poor - 0.5) / (n - 1)]).first().q0
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """Learn from the documents `labels` marks; the caller leaves out what is to be held out."""
     spark = docs.sparkSession
-    sample = per_text(_sample(docs, labels), "text", ("doc_id", "quality"), "x array<double>", lambda: lambda t: (features(t),))
+    agreed = _agreed(labels)
+    sample = per_text(_sample(docs, agreed), "text", ("doc_id", "quality"), "x array<double>", lambda: lambda t: (features(t),))
     # The sample is bounded, so its feature rows fit the driver; pairs and weights are made by Spark.
     # A document whose rows are repeated counts once.
     rows = {r.doc_id: (r.quality, r.x) for r in sample.orderBy("doc_id", "x").collect()}
@@ -142,10 +169,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
         fitIntercept=False, standardization=False, regParam=REGULARISATION, maxIter=60, tol=1e-8
     ).fit(pairs)
     weights = model.coefficients.toArray()
-    raw = np.sort(z @ weights)
-    cut = int((~good).sum())
-    threshold = float((raw[cut - 1] + raw[cut]) / 2)
-    return QualityModel(tuple(centre.tolist()), tuple(scale.tolist()), tuple(weights.tolist()), threshold)
+    model = QualityModel(tuple(centre.tolist()), tuple(scale.tolist()), tuple(weights.tolist()), 0.0)
+    return replace(model, threshold=_threshold(docs, agreed, model))
 
 
 def score(docs: DataFrame, model: QualityModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -35,6 +35,19 @@ def test_held_out_labels_are_not_used(spark):
     assert quality.fit(docs, left[0]) == quality.fit(docs, left[1])
 
 
+@pytest.mark.parametrize("lookup_rows", [quality.LOOKUP_ROWS, 10])
+def test_threshold_counts_labels_beyond_the_sample(spark, monkeypatch, lookup_rows):
+    monkeypatch.setattr(quality, "SAMPLE_PER_CLASS", 20)
+    monkeypatch.setattr(quality, "LOOKUP_ROWS", lookup_rows)
+    # 200 good and 30 poor documents whose features overlap.
+    rows = [(i, " ".join(["word%d" % (i * j % 9) for j in range(1, 30)] + ["#"] * (i % 7 + 3 * (i < 30)))) for i in range(230)]
+    docs = spark.createDataFrame([*rows, rows[3], (None, "a b")], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i >= 30)) for i in range(230)], "doc_id long, quality int")
+    model = quality.fit(docs, marks)
+    raw = sorted(float(model.raw(quality.features(t))) for _, t in rows)
+    assert model.threshold == pytest.approx((raw[29] + raw[30]) / 2, abs=1e-9)
+
+
 def test_odd_rows_and_missing_labels(spark):
     docs = spark.createDataFrame(
         [(1, "good text here", 1.0), (2, None, 1.0), (3, "", 1.0), (None, "x!!", 1.0), (1, "good text here", 1.0), (4, "w " * 50_000, 1.0)],
