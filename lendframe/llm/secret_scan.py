@@ -2,7 +2,9 @@
 
 Method: token-efficiency test. Ordinary words cost few tokens per character under a public vocabulary,
 random strings many. A run of key characters whose characters-per-token ratio is low is reported as kind
-`random`, unless it is a known digest, an identifier or a plain number. Base patterns (`assign`,
+`random`, unless it is a known digest, an identifier or a plain number. In a run of a higher ratio, as where
+a key ends a path or a name, the parts between separators are held to the ratio: parts next to each other
+that save less than `RATIO` characters a token together are reported without the words around them. Base patterns (`assign`,
 `access`, `hex`) are always reported. Offsets are code points, ends exclusive.
 
 Rows: one per input row; a null or empty text has no spans. Repeated rows are scanned each.
@@ -32,11 +34,13 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_LENGTH, ACCESS_LENGTH = 8, 16
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+RANDOM_LENGTH = 20
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % RANDOM_LENGTH)
 RATIO = 2.0  # characters per token below which a run looks random
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+_PART = re.compile(rf"(?<![A-Za-z0-9]){_UUID.pattern}(?![A-Za-z0-9])|[A-Za-z0-9]+")
 # Words, numbers and words with a trailing number, joined as in names, paths and keys.
 _IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+)?[0-9]*(?:[+/_=-]+(?:[A-Z]?[a-z]+|[A-Z]+)?[0-9]*)*")
 _CAMEL = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,})+[0-9]{0,4}")
@@ -49,11 +53,52 @@ def tokenizer(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def known(run: str) -> bool:
+    """Digests of fixed lengths and UUIDs."""
+    return bool(len(run) in DIGEST_LENGTHS and _DIGEST.fullmatch(run) or _UUID.fullmatch(run))
+
+
 def excluded(run: str) -> bool:
     """Known digests and identifiers: not secrets however few characters a token covers."""
-    if len(run) in DIGEST_LENGTHS and _DIGEST.fullmatch(run) or _UUID.fullmatch(run):
-        return True
-    return bool(_IDENTIFIER.fullmatch(run) or _CAMEL.fullmatch(run))
+    return known(run) or bool(_IDENTIFIER.fullmatch(run) or _CAMEL.fullmatch(run))
+
+
+def looks_random(run: str, encoding: tiktoken.Encoding) -> bool:
+    return not excluded(run) and len(run) <= RATIO * len(encoding.encode_ordinary(run))
+
+
+def random_spans(run: str, encoding: tiktoken.Encoding) -> list[tuple[int, int]]:
+    """(start, end) within `run` of what looks random: all of it, or stretches of its parts."""
+    if known(run):
+        return []
+    if looks_random(run, encoding):
+        return [(0, len(run))]
+    # All maximal scoring stretches of parts (Ruzzo and Tompa), each as (score before, score after, start, end,
+    # the nearest earlier stretch that begins at a lower score), in time linear in the parts.
+    done: list[tuple[int, int]] = []
+    stretches: list[tuple[float, float, int, int, int]] = []
+    total = 0.0
+    for m in _PART.finditer(run):
+        part = m[0]
+        if known(part):
+            done += [x[2:4] for x in stretches]
+            stretches = []
+            continue
+        low, total = total, total + RATIO * len(encoding.encode_ordinary(part)) - len(part)
+        if total <= low:
+            continue
+        start, j = m.start(), len(stretches) - 1
+        while j >= 0:
+            last = stretches[j]
+            if last[0] < low:
+                if last[1] >= total:
+                    break
+                low, start = last[0], last[2]
+                del stretches[j:]
+            j = last[4]
+        stretches.append((low, total, start, m.end(), j))
+    done += [x[2:4] for x in stretches]
+    return [(a, b) for a, b in done if b - a >= RANDOM_LENGTH and looks_random(run[a:b], encoding)]
 
 
 def spans_of(text: str | None, encoding: tiktoken.Encoding) -> list[tuple[str, int, int]]:
@@ -69,10 +114,7 @@ def spans_of(text: str | None, encoding: tiktoken.Encoding) -> list[tuple[str, i
         ]
     found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     for m in CANDIDATE.finditer(text):
-        run = m[0]
-        if excluded(run) or len(run) > RATIO * len(encoding.encode_ordinary(run)):
-            continue
-        found.append(("random", m.start(), m.end()))
+        found += [("random", m.start() + a, m.start() + b) for a, b in random_spans(m[0], encoding)]
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 

@@ -145,6 +145,28 @@ def test_random_strings_but_no_digests_or_names(ranks):
     assert kinds("12345678901234567890123", ranks) == []
 
 
+def test_random_parts_of_paths_and_names(ranks):
+    key = "kJ8fQz2LxV9wTn4BvR7yHc3D"
+    for before, after in (
+        ("com/company/project/settings/production/deploy/keys/", ""),
+        ("production_storage_account_access_key=", ""),
+        ("com/company/project/settings/", "/production/default/settings"),
+    ):
+        text = f"see {before}{key}{after} end"
+        at = text.index(key)
+        assert any(a <= at and b >= at + len(key) for _, a, b in secret_scan.spans_of(text, ranks))
+        assert key not in secret_scan.redacted(text, secret_scan.spans_of(text, ranks))
+    # A run whose ratio as a whole is high: the key alone is reported.
+    words = "com/company/project/settings/production/deploy/keys/" * 2
+    assert secret_scan.spans_of(words + key, ranks) == [("random", len(words), len(words) + len(key))]
+    # Separators within the key itself.
+    split = "kJ8fQz2LxV/9wTn4Bv+R7yHc3DpW"
+    assert secret_scan.spans_of(words + split + "/settings", ranks) == [("random", len(words), len(words) + len(split))]
+    assert kinds("src/main/java/org/apache/spark/sql/catalyst/expressions/part-00001", ranks) == []
+    assert kinds("projects/settings/users/123e4567-e89b-12d3-a456-426614174000/profile/index", ranks) == []
+    assert kinds("com/project/kJ8f/settings/Qz2L/production/" * 20_000, ranks) == []
+
+
 def test_redaction_replaces_overlaps_once(ranks):
     text = "a token = 24be64439e3e49cf46b2d7c90f3602a3d0b907ff b"
     spans = secret_scan.spans_of(text, ranks)
