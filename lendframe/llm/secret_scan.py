@@ -40,6 +40,8 @@ RATIO = 2.0  # characters per token below which a run looks random
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _DIGEST = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+_NUMBERS = re.compile(r"[0-9+/_=-]+")
+_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _PART = re.compile(rf"(?<![A-Za-z0-9]){_UUID.pattern}(?![A-Za-z0-9])|[A-Za-z0-9]+")
 # Words, numbers and words with a trailing number, joined as in names, paths and keys.
 _IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+)?[0-9]*(?:[+/_=-]+(?:[A-Z]?[a-z]+|[A-Z]+)?[0-9]*)*")
@@ -58,13 +60,18 @@ def known(run: str) -> bool:
     return bool(len(run) in DIGEST_LENGTHS and _DIGEST.fullmatch(run) or _UUID.fullmatch(run))
 
 
-def excluded(run: str) -> bool:
-    """Known digests and identifiers: not secrets however few characters a token covers."""
-    return known(run) or bool(_IDENTIFIER.fullmatch(run) or _CAMEL.fullmatch(run))
+def excluded(run: str, encoding: tiktoken.Encoding) -> bool:
+    """Known digests, plain numbers, and identifiers whose words reach the ratio, whatever their case."""
+    if known(run) or _NUMBERS.fullmatch(run):
+        return True
+    if not (_IDENTIFIER.fullmatch(run) or _CAMEL.fullmatch(run)):
+        return False
+    words = [w.lower() for w in _WORD.findall(run)]
+    return sum(map(len, words)) >= RATIO * sum(len(encoding.encode_ordinary(w)) for w in words)
 
 
 def looks_random(run: str, encoding: tiktoken.Encoding) -> bool:
-    return not excluded(run) and len(run) <= RATIO * len(encoding.encode_ordinary(run))
+    return not excluded(run, encoding) and len(run) <= RATIO * len(encoding.encode_ordinary(run))
 
 
 def random_spans(run: str, encoding: tiktoken.Encoding) -> list[tuple[int, int]]:

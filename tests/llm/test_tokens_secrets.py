@@ -167,6 +167,20 @@ def test_random_parts_of_paths_and_names(ranks):
     assert kinds("com/project/kJ8f/settings/Qz2L/production/" * 20_000, ranks) == []
 
 
+def test_single_case_random_strings(ranks):
+    for key in (
+        "qzvkxjwpfhgtbncmrlydqkzxvjwphgft",
+        "QZVKXJWPFHGTBNCMRLYDQKZXVJWPHGFT",
+        "qzvkx-jwpfh-gtbnc-mrlyd-qkzxv",
+        "QZVKX-JWPFH-GTBNC-MRLYD-QKZXV",
+    ):
+        assert kinds(f"key {key} end", ranks) == ["random"]
+    path = "com/company/project/settings/production/deploy/keys/" * 2
+    assert secret_scan.spans_of(path + "qzvkxjwpfhgtbncmrlyd", ranks) == [("random", len(path), len(path) + 20)]
+    for name in ("MAX_CONNECTION_TIMEOUT_SECONDS", "HTTPSConnectionPoolManager", "user_id_v2_created_at", "2024-01-15-12-30-45-000"):
+        assert kinds(f"see {name} there", ranks) == []
+
+
 def test_redaction_replaces_overlaps_once(ranks):
     text = "a token = 24be64439e3e49cf46b2d7c90f3602a3d0b907ff b"
     spans = secret_scan.spans_of(text, ranks)
