@@ -8,7 +8,8 @@ nest below it. What remains between skeleton tokens are slots. The slot with mos
 link and not under a boilerplate element is the main one; article and main elements go before others.
 
 Extraction drops boilerplate elements (menus, footers, side bars, notices, adverts, forms, comments) by
-tag, role and the words of class and id. Text is never dropped for being repeated: copies are whole.
+tag, role and the words of class and id; by class and id only where they are not around the main text, and
+not for what a name says to be there or missing (has-sidebar). Text is never dropped for being repeated: copies are whole.
 
 Rows: one per input row. Null or empty html, or pages without text, give an empty text. A page without
 its host's main slot is read by its own best slot. Pages without a host share the template of host "".
@@ -60,6 +61,7 @@ WORDS = frozenset(
     "recommended recommendations pagination pager toolbar skip copyright disclaimer hidden search searchbox".split()
 )
 MAIN_WORDS = frozenset("article content main post entry story body text articlebody maincontent maintext".split())
+STATES = frozenset("has with without no not".split())  # "has-sidebar" says what a wrapper holds, not what it is
 CONTAINERS = frozenset("article main section div td body center blockquote table tbody tr html".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^<>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>", re.S
@@ -70,27 +72,41 @@ MAJORITY = 0.5
 
 
 class Node:
-    """An open element: tag, path, and whether its text is boilerplate or a link."""
+    """An open element: tag, path, marks of its own, and whether its text is boilerplate or a link.
 
-    __slots__ = ("boiler", "link", "main", "path", "tag")
+    `fixed`: boilerplate by tag, role or attribute (`barred`: or below such an element); `named`: by class or id, which `blocks_of` may overrule.
+    `core`: in an article or main element, with no mark below it. `titled`: in a container with a main word,
+    with no mark around or below it.
+    """
+
+    __slots__ = ("barred", "boiler", "clear", "core", "fixed", "link", "main", "named", "parent", "path", "tag", "titled")
 
     def __init__(self, tag: str, attributes: dict[str, str], parent: Node | None):
-        names = attributes.get("class", "") + " " + attributes.get("id", "")
-        words = {w.lower() for w in _CAMEL.split(names) if w}
+        tokens = (attributes.get("class", "") + " " + attributes.get("id", "")).split()
+        split = [[w.lower() for w in _CAMEL.split(t) if w] for t in tokens]
+        words = {w for t in split for w in t}
         sig = tag + "".join("." + w for w in sorted(words))
-        self.tag = tag
+        self.tag, self.parent = tag, parent
         self.path = (parent.path + "/" if parent else "") + sig
         role = attributes.get("role", "").lower()
-        self.main = bool(parent and parent.main) or tag in ("article", "main") or role in ("main", "article")
+        holder = tag in ("article", "main") or role in ("main", "article")
+        self.main = bool(parent and parent.main) or holder
         exempt = tag in ("html", "body", "main")
-        marked = words & WORDS if tag != "article" else words & {"comment", "comments", "reply"}
-        self.boiler = bool(parent and parent.boiler) or not exempt and bool(
+        says = {w for t in split if not (len(t) > 1 and t[0] in STATES) for w in t}
+        marked = says & WORDS if tag != "article" else says & {"comment", "comments", "reply"}
+        self.named = not exempt and bool(marked)
+        self.fixed = not exempt and bool(
             tag in BOILERPLATE
             or tag == "header" and not (parent and parent.main)
             or role in ROLES
-            or marked
             or "hidden" in attributes
         )
+        self.barred = self.fixed or bool(parent and parent.barred)
+        own = self.named or self.fixed
+        self.clear = not own and (parent is None or parent.clear)
+        self.core = not own and (holder or bool(parent and parent.core))
+        self.titled = self.clear and (bool(parent and parent.titled) or tag in CONTAINERS and not exempt and bool(MAIN_WORDS & words))
+        self.boiler = bool(parent and parent.boiler) or own
         self.link = bool(parent and parent.link) or tag == "a"
 
 
@@ -98,10 +114,46 @@ def attributes_of(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)} if text.strip(" /") else {}
 
 
-def blocks_of(page: str) -> Iterator[tuple[list[Node], str, int]]:
+def blocks_of(page: str, slot: str | None = None) -> list[tuple[list[Node], str, int]]:
+    """The blocks of `parsed`, once it is settled which elements are boilerplate.
+
+    An element is not boilerplate by name if it lies around `slot` or holds most of the page's unlinked text:
+    that of article and main elements, if there are any, else all text in containers below it. Where text stands in a container with
+    a main word and no mark around it, there is nothing to overrule.
+    """
+    opened: list[Node] = []
+    blocks = list(parsed(page, opened))
+    if not any(n.named for n in opened):
+        return blocks
+    texts = [(nodes[-1], max(len(text) - linked, 0)) for nodes, text, linked in blocks if nodes and text and not nodes[-1].barred]
+    counted = [x for x in texts if x[0].core and x[1]]
+    within = bool(counted)
+    if not counted and not any(n.titled and c for n, c in texts):
+        counted = [x for x in texts if x[1]]
+    held: dict[Node, int] = {}
+    total = 0
+    for node, count in counted:
+        above, at, wrapped = [], node, within
+        while at is not None:
+            if at.named and wrapped:
+                above.append(at)
+            wrapped = wrapped or not at.named and at.tag in CONTAINERS
+            at = at.parent
+        total += count
+        for n in above:
+            held[n] = held.get(n, 0) + count
+    for n in opened:
+        around = slot is not None and (slot + "/").startswith(n.path + "/")
+        named = n.named and not around and not held.get(n, 0) > MAJORITY * total
+        n.boiler = bool(n.parent and n.parent.boiler) or n.fixed or named
+    return blocks
+
+
+def parsed(page: str, opened: list[Node]) -> Iterator[tuple[list[Node], str, int]]:
     """(open elements, text, characters in links) of every block of text, in page order.
 
-    An element without text gives one entry with an empty text, so that every token is seen.
+    An element without text gives one entry with an empty text, so that every token is seen. `opened` gets
+    all elements, in page order.
     """
     stack: list[Node] = []
     parts: list[str] = []
@@ -167,8 +219,9 @@ def blocks_of(page: str) -> Iterator[tuple[list[Node], str, int]]:
         if tag in VOID:
             continue
         node = Node(tag, attributes_of(m[3]), stack[-1] if stack else None)
+        opened.append(node)
         # A boilerplate inline element inside a block must not leak into the block's text.
-        if node.boiler and not (stack and stack[-1].boiler) and tag not in BLOCK:
+        if (node.named or node.fixed) and tag not in BLOCK:
             yield from flush()
         stack.append(node)
         if tag in CONTAINERS:
@@ -186,10 +239,12 @@ def slots_of(page: str | None) -> dict[str, list[int]]:
     """Container path -> [occurrences, characters of text below it that is neither link nor boilerplate]."""
     found: dict[str, list[int]] = {}
     for nodes, text, linked in blocks_of(page or ""):
-        if nodes and nodes[-1].boiler:
-            continue
         if not text:
-            found.setdefault(nodes[-1].path, [0, 0])[0] += 1
+            # Dropped by name here, an element may hold the main text of other pages: it is counted all the same.
+            if not nodes[-1].barred:
+                found.setdefault(nodes[-1].path, [0, 0])[0] += 1
+            continue
+        if nodes and nodes[-1].boiler:
             continue
         for n in nodes:
             if n.path in found:
@@ -209,7 +264,7 @@ def main_slot(found: dict[str, list[int]]) -> str | None:
 
 def text_of(page: str | None, slot: str | None) -> str:
     """Blocks below the main slot without boilerplate, joined by empty lines."""
-    rows = [(nodes, text) for nodes, text, _ in blocks_of(page or "") if text and not (nodes and nodes[-1].boiler)]
+    rows = [(nodes, text) for nodes, text, _ in blocks_of(page or "", slot) if text and not (nodes and nodes[-1].boiler)]
     inside = [t for nodes, t in rows if any(n.path == slot for n in nodes)]
     if not inside:
         own = main_slot(slots_of(page))

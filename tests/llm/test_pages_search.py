@@ -34,6 +34,37 @@ def test_pages_without_article_and_with_clutter():
     assert html_template.text_of(html, None) == want
 
 
+@pytest.mark.parametrize(
+    "name", ["layout has-sidebar", "with-comments", "no-footer", "page-widget", "social", "related", "hidden", "search"]
+)
+@pytest.mark.parametrize("inner", ["article", "main", "div class='inner'"])
+def test_wrappers_of_the_main_text_are_no_boilerplate(name, inner):
+    clutter = "<div class='sidebar'>Links</div><div class='ad'>Buy</div>"
+    html = page(f"<div class='{name}'>{clutter}<{inner}><p>The real text of the page, in full.</p></{inner.split()[0]}></div>")
+    assert html_template.text_of(html, None) == "The real text of the page, in full."
+
+
+def test_long_comments_and_notices_stay_boilerplate():
+    long = "<p>" + "words of others " * 50 + "</p>"
+    comments = f"<div class='comments'><div class='text'>{long}</div></div><div class='site-footer'>{long}</div>"
+    for inner in ("article", "div class='content'"):
+        html = page(f"<{inner}><p>Short.</p></{inner.split()[0]}>{comments}")
+        assert html_template.text_of(html, None) == "Short."
+        html = page(f"<div class='has-comments'><{inner}><p>Short.</p>{comments}</{inner.split()[0]}></div>")
+        assert html_template.text_of(html, None) == "Short."
+    assert html_template.text_of(page("<p>Short.</p><div class='cookie-notice'>" + long + "</div>"), None) == "Short."
+
+
+def test_a_wrapper_of_the_host_slot_is_no_boilerplate(spark):
+    def of(n):
+        text = "<p>" + "words here " * n + "</p>"
+        return page(f"<div class='social'><div class='b'>{text}</div></div><div class='a'><p>fifteen letters</p></div>")
+
+    pages = spark.createDataFrame([(n, "http://h.example/", of(n)) for n in (1, 20, 30, 40)], "page_id long, url string, html string")
+    text = {r.page_id: r.text for r in html_template.extract(pages).collect()}
+    assert text == {n: " ".join(["words here"] * n) for n in (1, 20, 30, 40)}
+
+
 @pytest.mark.parametrize("html", [None, "", "<", "<html><body></body></html>", "<!-- <p>x</p> -->", "<script>x"])
 def test_pages_without_text(html):
     assert html_template.text_of(html, None) in ("", "<")
