@@ -4,16 +4,19 @@ Method: pigeonhole edit matching. An item of n words may differ from a passage b
 word edits. Cut into e + 1 pieces, one piece must occur unchanged in such a passage. So every exact piece
 hit opens a window, and Myers' bit-parallel algorithm gives the least edit distance within it.
 
-Words: ASCII letters lower-cased, ASCII punctuation dropped, split at white space. Items are the stated
+Words: ASCII letters lower-cased, ASCII punctuation dropped, split at white space; in scripts written without
+spaces every character is a word, and their punctuation is dropped. Items are the stated
 query set: they are dealt into blocks of bounded size, and each block is held against all documents.
 
 Rows: one per document row and item that match, with the best window. Null and empty texts match nothing,
-nor do items of fewer than `min_words` words. Repeated documents are each reported; repeated items once.
+nor do items without any word. Items of fewer than `min_words` words must occur unchanged. Items without an
+id are told apart by their text, and count as the item of the same text that has one. Repeated documents are each reported; repeated items once.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -32,8 +35,23 @@ _FOLD = bytes(
 )
 
 
+# Han, kana, bopomofo, Thai, Lao, Tibetan, Burmese, Khmer: written without spaces between words.
+_UNSPACED = re.compile(
+    "[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u3035\u3038-\u303c"
+    "\u3040-\u30fa\u30fc-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f"
+    "\U00020000-\U0003ffff]"
+)
+_UNSPACED_STOPS = re.compile(
+    "[\u3000-\u3004\u3008-\u3020\u3030\u303d-\u303f\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]+"
+)
+
+
 def folded_words(text: str | None) -> list[bytes]:
-    return text.encode().translate(_FOLD).split() if text else []
+    if not text:
+        return []
+    if not text.isascii() and _UNSPACED.search(text):
+        text = _UNSPACED.sub(r" \g<0> ", _UNSPACED_STOPS.sub(" ", text))
+    return text.encode().translate(_FOLD).split()
 
 
 def myers(pattern: list[int], text: list[int]) -> tuple[int, int]:
@@ -69,15 +87,15 @@ def pieces(n: int, errors: int) -> list[tuple[int, int]]:
 class Matcher:
     """The items of one block, indexed by the hashes of their pieces."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float, min_words: int):
+    def __init__(self, items: list[tuple[int | None, str]], rate: float, min_words: int):
         self.word_id: dict[bytes, int] = {}
-        self.items: list[tuple[int, list[int], int]] = []
+        self.items: list[tuple[int | None, list[int], int]] = []
         spans: dict[int, list[tuple[tuple[int, ...], int, int]]] = {}
         for item_id, text in items:
             words = [self.word_id.setdefault(w, len(self.word_id) + 1) for w in folded_words(text)]
-            if len(words) < min_words:
+            if not words:
                 continue
-            errors = math.floor(rate * len(words))
+            errors = math.floor(rate * len(words)) if len(words) >= min_words else 0
             for a, b in pieces(len(words), errors):
                 spans.setdefault(b - a, []).append((tuple(words[a:b]), len(self.items), a))
             self.items.append((item_id, words, errors))
@@ -97,7 +115,7 @@ class Matcher:
             total = total + columns[k] * (mix(np.array([k], U64)) | U64(1))
         return total
 
-    def matches(self, text: str | None) -> list[tuple[int, int, int, int, int]]:
+    def matches(self, text: str | None) -> list[tuple[int | None, int, int, int, int]]:
         """(item_id, distance, item_words, start_word, end_word) by item_id."""
         words = folded_words(text)
         get = self.word_id.get
@@ -128,7 +146,7 @@ class Matcher:
                 _, back = myers(pattern[::-1], ids[a : a + end][::-1])
                 best[item] = distance, a + end - back, a + end
         out = [(self.items[i][0], d, len(self.items[i][1]), s, e) for i, (d, s, e) in best.items()]
-        return sorted(out)
+        return sorted(out, key=lambda m: (m[0] is not None, m[0] or 0, m[1:]))
 
 
 def matches(
@@ -136,7 +154,10 @@ def matches(
 ) -> DataFrame:
     """doc_id, item_id, distance, item_words, start_word, end_word of every document row that holds an item."""
     spark = docs.sparkSession
-    known = items.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    texts = items.select("item_id", "text").where("text IS NOT NULL").distinct()
+    named = texts.where("item_id IS NOT NULL")
+    # An item without an id is reported under the id of an item of the same text, if there is one.
+    known = named.unionByName(texts.where("item_id IS NULL").join(named.select("text"), "text", "left_anti"))
     size = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
     kind = "matches array<struct<item_id:long,distance:int,item_words:int,start_word:int,end_word:int>>"

@@ -217,3 +217,21 @@ def test_signature_matches_estimate_similarity():
     x, y = (np.frombuffer(sketcher.sketch(t)[3], np.uint16) for t in (a, b))
     p, q = shingle_set(a, 3), shingle_set(b, 3)
     assert abs((x == y).mean() - len(p & q) / len(p | q)) < 0.12
+
+
+def test_short_items_unspaced_scripts_and_items_without_id(spark):
+    chinese = "".join(chr(0x4E00 + 37 * i) for i in range(60))
+    items = spark.createDataFrame(
+        [(1, "Capital of France?"), (2, chinese), (None, "an item that has no id of its own"), (None, "?!"), (3, "x")],
+        "item_id long, text string",
+    )
+    docs = spark.createDataFrame(
+        [
+            (1, "The capital, of France is"), (2, "capital of a France"), (3, "前文。" + chinese[:20] + "，" + chinese[20:40] + "错" + chinese[41:] + "后文"),
+            (4, chinese[:30]), (5, "here an item that has no id of its own stands"), (6, "xy ?!"),
+        ],
+        "doc_id long, text string",
+    )
+    found = {(r.doc_id, r.item_id, r.distance, r.item_words) for r in decontaminate.matches(docs, items).collect()}
+    assert found == {(1, 1, 0, 3), (3, 2, 1, 60), (5, None, 0, 9)}
+    assert {r.doc_id for r in decontaminate.clean(docs, items).collect()} == {2, 4, 6}
