@@ -1,11 +1,12 @@
 """Main text of web pages, by templates deduced per host.
 
-Method: equivalence classes. A token is a tag with its path from the root. Its occurrence vector counts
-it on every page of its host; tokens of equal vectors form a class. Vectors are compared by a sum of page
-hashes weighted with the counts, so a host of any size is reduced by plain partial aggregation. The class
-of tokens that stand once on every page that has a body is the skeleton of the template; other classes
-nest below it. What remains between skeleton tokens are slots. The slot with most of the text that is no
-link and not under a boilerplate element is the main one; article and main elements go before others.
+Method: the first of the equivalence classes only, and a lexicon for the rest. A token is a container tag
+with its path from the root. Its occurrence vector counts it on every page of its host. Vectors are compared
+by a sum of page hashes weighted with the counts, so a host of any size is reduced by plain partial
+aggregation. The class of tokens that occur as the most frequent one does is the skeleton of the template;
+other classes are not formed, ordered or nested. The skeleton token, or container with a main name on most
+pages, with most of the text that is no link and not under a boilerplate element is the main slot; article
+and main elements go before others.
 
 Extraction drops boilerplate elements (menus, footers, side bars, notices, adverts, forms, comments) by
 tag, role and the words of class and id; by class and id only where they are not around the main text, and
