@@ -13,10 +13,12 @@ from lendframe.llm import (
     html_template,
     minhash,
     quality,
+    rule_forest,
     secret_scan,
     suffix_dedup,
     topk,
     url_rules,
+    vector_codes,
     warc,
 )
 from lendframe.llm.common import held_out, read_table, vocabulary_path
@@ -92,15 +94,62 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_rule_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and verdict on every document; labels of held-out documents do not calibrate the threshold."""
+    labels = read_table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    return rule_forest.judge(read_table(spark, sf_dir, "documents"), labels)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code and errors of every usable vector."""
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_bpe, op3_quality, op4_html_template, op5_secret_scan, op6_decontamination,
-        op7_topk, op8_url_rules, op9_minhash, op10_warc,
+        op7_topk, op8_url_rules, op9_minhash, op10_warc, op11_rule_forest, op12_vector_codes,
     )
 }
 
+def _codes_sql(parts: int, entries: int, rounds: int) -> str:
+    """Product codes: one assignment and one replacement step per round, as common table expressions."""
+    steps = [
+        """k AS (SELECT row_number() OVER () AS r, vec_id, label, embedding FROM embeddings WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        "w AS (SELECT (max(len(embedding)) + %d) // %d AS w FROM k)" % (parts - 1, parts),
+        f"""x AS MATERIALIZED (SELECT r, (i - 1) // w AS p, (i - 1) % w AS j,
+            CAST(floor(4096 * coalesce(CAST(embedding[i] AS DOUBLE), 0)) AS BIGINT) AS x
+            FROM (SELECT *, unnest(range(1, {parts} * w + 1)) AS i FROM k, w))""",
+        f"""s AS (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k QUALIFY e < {entries})""",
+        "b0 AS MATERIALIZED (SELECT p, e, j, x AS c FROM x JOIN s USING (r))",
+    ]
+    for n in range(rounds + 1):
+        steps.append(
+            f"""a{n} AS MATERIALIZED (SELECT r, p, min(d) AS d, arg_min(e, (d, e)) AS e FROM (
+                SELECT r, p, e, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d FROM x JOIN b{n} USING (p, j) GROUP BY r, p, e)
+                GROUP BY r, p)"""
+        )
+        if n < rounds:
+            steps.append(
+                f"""b{n + 1} AS MATERIALIZED (SELECT p, e, j, coalesce(m, c) AS c FROM b{n} LEFT JOIN (
+                    SELECT p, e, j, (s - ((s % n) + n) % n) // n AS m FROM (
+                        SELECT p, e, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM x JOIN a{n} USING (r, p) GROUP BY p, e, j))
+                    USING (p, e, j))"""
+            )
+    return (
+        "WITH " + ", ".join(steps) + f""", t AS (
+            SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+            FROM a{rounds} GROUP BY r)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+            (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, j)) FROM b{rounds}) AS codebooks_sha256
+        FROM t JOIN k USING (r)"""
+    )
+
+
 ORACLES: dict[str, str] = {
+    "op12_vector_codes": _codes_sql(8, 16, 6),
     "op7_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
