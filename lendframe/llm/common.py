@@ -32,6 +32,12 @@ def arrow_batches(spark: SparkSession, rows: int = 250) -> SparkSession:
     return spark
 
 
+def package_on_workers(spark: SparkSession) -> SparkSession:
+    """Let workers import this package, for runs that were not given its folder at the start."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", PACKAGE_FOLDER)
+    return spark
+
+
 def per_text(df: DataFrame, column: str, keep: tuple[str, ...], schema: str, start: Callable[[], Callable]) -> DataFrame:
     """`keep` columns of every row and the fields of `schema`, which a function of `column` gives.
 

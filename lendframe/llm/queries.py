@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lendframe.llm import (
     bpe,
+    conversation_trie,
     decontaminate,
     html_template,
     minhash,
@@ -105,11 +106,17 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations, with the totals of its subtree."""
+    return conversation_trie.trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_suffix_dedup, op2_bpe, op3_quality, op4_html_template, op5_secret_scan, op6_decontamination,
         op7_topk, op8_url_rules, op9_minhash, op10_warc, op11_rule_forest, op12_vector_codes,
+        op13_conversation_trie,
     )
 }
 
@@ -150,6 +157,46 @@ def _codes_sql(parts: int, entries: int, rounds: int) -> str:
 
 ORACLES: dict[str, str] = {
     "op12_vector_codes": _codes_sql(8, 16, 6),
+    # crc32 by its bitwise definition: eight shifts per byte of the decimal id.
+    "op13_conversation_trie": """
+        WITH t AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                md5(concat(CAST(length(coalesce(role, '')) AS VARCHAR), ':', coalesce(role, ''), ':', coalesce(text, '')))) AS n,
+                {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS turn
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), c AS (
+            SELECT conv_id, list(turn ORDER BY n) AS own,
+                xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                    lambda x: ord(x)::BIGINT)),
+                    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+                        lambda u, v: CASE WHEN u & 1 = 1 THEN xor(u >> 1, 3988292384::BIGINT) ELSE u >> 1 END)),
+                    4294967295::BIGINT) % 4 AS h
+            FROM t GROUP BY conv_id
+        ), r AS (
+            SELECT c.conv_id, list_concat(coalesce(s.own, [])[1:c.h], c.own[c.h + 1:]) AS turns
+            FROM c LEFT JOIN c s ON s.conv_id = c.conv_id - c.conv_id % 20
+        ), p AS (
+            SELECT conv_id, len(turns) AS length, unnest(range(0, len(turns) + 1)) AS depth, turns FROM r
+        ), n AS (
+            SELECT depth, turns[1:depth] AS k, min(conv_id) AS conv_id, count(*) AS n_convs,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE length = depth), ''))
+                    AS ends_sha256
+            FROM p GROUP BY ALL
+        ), m AS (
+            SELECT n.*, q.conv_id AS parent_conv_id FROM n LEFT JOIN n q ON n.depth > 0 AND q.depth = n.depth - 1
+                AND q.k = n.k[1:n.depth - 1]
+        ), x AS (
+            SELECT depth - 1 AS depth, k[1:depth - 1] AS k, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL
+        ), y AS (
+            SELECT m.*, coalesce(n_children, 0) AS n_children FROM m LEFT JOIN x USING (depth, k)
+        ), z AS (
+            SELECT a AS depth, k[1:a] AS k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(CASE WHEN depth = 0 THEN 0
+                ELSE (n_convs - 1) * len(regexp_extract_all(k[depth].text, '[^\\x20\\x09-\\x0D]+')) END) AS BIGINT) AS saved_tokens
+            FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM y) GROUP BY ALL
+        )
+        SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+        FROM y JOIN z USING (depth, k)
+    """,
     "op7_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lendframe.llm.common import package_on_workers
 from lendframe.operators.lookup import attach
 from lendframe.session import LOOKUP_ROWS, materialise
 
@@ -182,7 +183,7 @@ def compress(
     table: DataFrame, vector: str = "embedding", id_column: str = "vec_id", label: str = "label"
 ) -> DataFrame:
     """id, code, error, label_error and codebooks_sha256 of every usable vector of `table`."""
-    spark = table.sparkSession
+    package_on_workers(table.sparkSession)
     named = table.select(F.col(id_column).alias("_id"), F.col(label).alias("_label"), F.col(vector).alias("_vector"))
     vectors = named.where(usable(F.col("_vector")))
     codebooks = fit(vectors)
