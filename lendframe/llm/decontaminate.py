@@ -180,8 +180,11 @@ def matches(
 
 
 def clean(docs: DataFrame, items: DataFrame, rate: float = RATE, min_words: int = MIN_WORDS) -> DataFrame:
-    """Documents without a match, all columns. Rows without a doc_id are checked by their text as well."""
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    found = matches(keyed.select(F.col("_row").alias("doc_id"), "text"), items, rate, min_words)
-    bad = found.select(F.col("doc_id").alias("_row")).distinct()
-    return keyed.join(bad, "_row", "left_anti").drop("_row")
+    """Documents without a match, all columns. Rows without a doc_id are checked by their text as well.
+
+    The columns of `docs` travel as one struct, so that none of them can clash with the key.
+    """
+    keyed = docs.select(F.struct(*docs.columns).alias("_document"), F.xxhash64("doc_id", "text").alias("_row"))
+    asked = keyed.select(F.col("_row").alias("doc_id"), F.col("_document.text").alias("text"))
+    bad = matches(asked, items, rate, min_words).select(F.col("doc_id").alias("_row")).distinct()
+    return keyed.join(bad, "_row", "left_anti").select("_document.*")

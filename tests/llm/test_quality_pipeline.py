@@ -103,3 +103,18 @@ def test_stages_take_odd_rows(spark, sf_dir):
             assert len(got) <= rows.count()
             if name in ("secrets", "tokens"):
                 assert len(got) == rows.count()
+
+
+def test_stages_take_columns_with_clashing_names(spark, sf_dir):
+    names = (
+        "predicted", "score", "_row", "kept", "_document", "_result", "component_id", "n_shingles", "item_id", "distance",
+        "matches", "spans", "ids_sha256", "_id", "_order", "held_out", "quality", "x", "bucket", "node",
+    )
+    plain = read_table(spark, sf_dir, "documents")
+    docs = plain.withColumns({n: F.lit(f"own {n}") for n in names})
+    for name, stage in corpus_pipeline.STAGES:
+        got, want = stage(spark, docs, sf_dir), stage(spark, plain, sf_dir)
+        if name != "tokens":
+            assert got.columns == docs.columns and got.where(" OR ".join(f"{n} != 'own {n}'" for n in names)).isEmpty()
+        got, want = got.select(want.columns).collect(), want.collect()
+        assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) > 0
