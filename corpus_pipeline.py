@@ -19,8 +19,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents whose quality score reaches `quality.ACCEPT`."""
     labels = read_table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
     model = quality.fit(docs, labels)
-    kept = quality.score(docs, model, keep=tuple(docs.columns)).where("predicted = 1")
-    return kept.select(*docs.columns)
+    # As one struct, the columns of docs cannot clash with those of the score.
+    packed = docs.select(F.struct(*docs.columns).alias("_document"), "text")
+    return quality.score(packed, model, keep=("_document",)).where("predicted = 1").select("_document.*")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
