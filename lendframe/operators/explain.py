@@ -1,20 +1,21 @@
 """Additive explanations of tree-ensemble scores.
 
-For every row and feature the exact path-dependent contribution (Lundberg et al., TreeSHAP) to the
-model margin is computed. A leaf with value v contributes, for each feature i on its path,
+For every row and feature the exact path-dependent contribution (Lundberg et al., TreeSHAP) to the model margin is
+computed. With the polynomial P(t) = prod_j (t o_j + (1 - t) z_j) of a leaf with value v, where o_j says whether the row
+meets all conditions of feature j on the path and z_j is the share of training rows that do, feature i gets
 
-    v (o_i - z_i) * integral over t in [0, 1] of prod_{j != i} (t o_j + (1 - t) z_j)
+    v (o_i - z_i) * integral over t in [0, 1] of P(t) / (t o_i + (1 - t) z_i)
 
-where o_j says whether the row meets all conditions of feature j on the path, and z_j is the share
-of training rows that do. The integrand is a polynomial of degree m - 1 for m features on the path,
-so Gauss-Legendre quadrature with ceil(m / 2) points is exact.
+The integrand has degree m - 1 for m features on the path, so Gauss-Legendre quadrature with ceil(m / 2) points is
+exact. One walk over a tree carries P at these points down, for a whole batch of rows at once, and brings the sums of v P
+over the leaves below back up; every edge then adds its share. So work grows with nodes, not with leaves times depth.
 
-Rows stay in their partitions: feature vectors go to the workers in Arrow batches, the leaf table
-travels once per worker, and the ranking of reasons uses array functions inside the row.
+Rows stay in their partitions. Trees are packed into arrays by tasks, one tree each; a pack is sent to every worker once.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,150 +25,194 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendframe.operators.leafwise import LeafwiseModel
 from lendframe.operators.train import LoanModel
 from lendframe.schema import ID
 from lendframe.session import work_path
 
+CHUNK_ROWS = 4_096
+_LEAST_SHARE = 1e-12  # stands for a child no training row reached
+
 
 @dataclass
-class Condition:
-    """All tests of one feature on a path: an interval and, for categories, the allowed codes."""
+class PackedTree:
+    """Node arrays, root first; children come after their parents, a leaf has feature -1."""
+
+    feature: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    share: np.ndarray  # of the parent's training rows
+    cut: np.ndarray  # of a number: values up to it go left
+    codes: list[np.ndarray | None]  # of a category: the codes that go left
+
+    def goes_left(self, node: int, x: np.ndarray) -> np.ndarray:
+        v = x[:, self.feature[node]]
+        codes = self.codes[node]
+        return v <= self.cut[node] if codes is None else np.isin(v, codes)
+
+    def points(self) -> tuple[np.ndarray, np.ndarray]:
+        """Quadrature points and weights on [0, 1] for the most features any path has."""
+        most, waiting = 1, [(0, frozenset())]
+        while waiting:
+            i, seen = waiting.pop()
+            if self.feature[i] < 0:
+                most = max(most, len(seen))
+            else:
+                waiting += [(c, seen | {self.feature[i]}) for c in (self.left[i], self.right[i])]
+        t, w = np.polynomial.legendre.leggauss((most + 1) // 2)
+        return (t + 1) / 2, w / 2
+
+    def base(self) -> float:
+        """The mean over training rows."""
+        reach = np.ones(len(self.feature))
+        for i in np.flatnonzero(self.feature >= 0):
+            for c in (self.left[i], self.right[i]):
+                reach[c] = reach[i] * self.share[c]
+        return float((reach * self.value)[self.feature < 0].sum())
+
+
+def add_contributions(tree: PackedTree, x: np.ndarray, out: np.ndarray) -> None:
+    """Add the contributions of one tree to `out` (rows, features)."""
+    t, w = tree.points()
+    everyone = np.ones(len(x), bool)
+
+    def factors(z: float) -> np.ndarray:
+        """t o + (1 - t) z at every point, for o = 0 and 1."""
+        return np.stack([(1 - t) * z, t + (1 - t) * z])
+
+    def walk(i: int, p: np.ndarray, met: dict[int, tuple[np.ndarray, float]]) -> np.ndarray:
+        if tree.feature[i] < 0:
+            return tree.value[i] * p
+        f = int(tree.feature[i])
+        known = f in met
+        o_old, z_old = met.get(f, (everyone, 1.0))
+        old = factors(z_old) if known else np.ones((2, len(t)))
+        left = tree.goes_left(i, x)
+        total: np.ndarray | float = 0.0
+        for c, side in ((int(tree.left[i]), left), (int(tree.right[i]), ~left)):
+            o, z = o_old & side, z_old * max(float(tree.share[c]), _LEAST_SHARE)
+            new = factors(z)
+            # Rows that met the conditions so far and still do, no longer do, or never did.
+            ratio = np.stack([new[0] / old[0], new[0] / old[1], new[1] / old[1]])
+            below = walk(c, p * ratio[o_old.astype(np.int8) + o], {**met, f: (o, z)})
+            sums = below @ np.concatenate([w / new, w / old]).T
+            gain = np.where(o, (1 - z) * sums[:, 1], -z * sums[:, 0])
+            if known:
+                # The edge above adds its own share for these leaves, which now have a deeper condition.
+                gain -= np.where(o_old, (1 - z_old) * sums[:, 3], -z_old * sums[:, 2])
+            out[:, f] += gain
+            total = total + below
+        return total
+
+    walk(0, np.ones((len(x), len(t))), {})
+
+
+def contributions(x: np.ndarray, trees: list[PackedTree], width: int) -> np.ndarray:
+    """(rows, features) contributions for a batch of feature vectors."""
+    out = np.zeros((len(x), width))
+    for start in range(0, len(x), CHUNK_ROWS):
+        for tree in trees:
+            add_contributions(tree, x[start : start + CHUNK_ROWS], out[start : start + CHUNK_ROWS])
+    return out
 
-    feature: int
-    low: float = -np.inf
-    high: float = np.inf
-    allowed: frozenset[float] | None = None
-    cover: float = 1.0
 
+def _pack(rows: pd.DataFrame, weight: float = 1.0) -> PackedTree:
+    """Node rows of one tree (id, feature, left, right, value, cover, cut, codes) as arrays, in order of id."""
+    rows = rows.sort_values("id")
+    place = {i: k for k, i in enumerate(rows["id"])}
+    feature = rows["feature"].to_numpy(np.int64)
+    cover = rows["cover"].to_numpy(float)
+    left, right = (np.array([place.get(i, 0) for i in rows[s]], np.int64) for s in ("left", "right"))
+    share = np.ones(len(rows))
+    for i in np.flatnonzero(feature >= 0):
+        for c in (left[i], right[i]):
+            share[c] = cover[c] / cover[i] if cover[i] else 0.5
+    codes = [None if c is None else np.array(c, float) for c in rows["codes"]]
+    return PackedTree(feature, left, right, weight * rows["value"].to_numpy(float), share, rows["cut"].to_numpy(float), codes)
+
+
+def _node_table(spark: SparkSession, model: LoanModel) -> DataFrame:
+    """The nodes of a Spark ML ensemble as a table; its files are written once per model."""
+    path = getattr(model, "_node_path", None)
+    if path is None:
+        path = work_path(spark, "trees")
+        model.trees.write().overwrite().save(path)
+        model._node_path = path
+    split = "nodeData.split"
+    test = F.col(f"{split}.leftCategoriesOrThreshold")
+    category = F.col(f"{split}.numCategories") > 0
+    inner = F.col("nodeData.leftChild") >= 0
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"),
+        F.col("nodeData.id").alias("id"),
+        F.when(inner, F.col(f"{split}.featureIndex")).otherwise(-1).alias("feature"),
+        F.col("nodeData.leftChild").alias("left"),
+        F.col("nodeData.rightChild").alias("right"),
+        F.col("nodeData.prediction").alias("value"),
+        F.col("nodeData.rawCount").cast("double").alias("cover"),
+        F.when(inner & ~category, test[0]).otherwise(0.0).alias("cut"),
+        F.when(inner & category, test).alias("codes"),
+    )
 
-@dataclass
-class Leaf:
-    value: float
-    conditions: list[Condition]
-
-
-def _node_rows(spark: SparkSession, model: LoanModel) -> tuple[list, dict[int, float]]:
-    """(node rows, weight per tree) of the fitted ensemble, from its saved form."""
-    path = work_path(spark, "trees")
-    model.trees.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
-    weights = dict(enumerate(model.trees.treeWeights))
-    return nodes, weights
-
-
-def leaves_of(spark: SparkSession, model: LoanModel) -> tuple[list[Leaf], float]:
-    """(leaves with non-trivial paths, base value): the margin's expectation and what moves it."""
-    nodes, weights = _node_rows(spark, model)
-    trees: dict[int, dict[int, object]] = {}
-    for n in nodes:
-        trees.setdefault(n["treeID"], {})[n["id"]] = n
-    leaves: list[Leaf] = []
-    base = 0.0
-    for tree_id, by_id in trees.items():
-        stack: list[tuple[int, dict[int, Condition], float]] = [(0, {}, 1.0)]
-        while stack:
-            node_id, conditions, reached = stack.pop()
-            node = by_id[node_id]
-            if node["leftChild"] < 0:
-                value = weights[tree_id] * node["prediction"]
-                base += value * reached
-                if conditions:
-                    leaves.append(Leaf(value, list(conditions.values())))
-                continue
-            split = node["split"]
-            for side in ("leftChild", "rightChild"):
-                child = by_id[node[side]]
-                went = child["rawCount"] / node["rawCount"] if node["rawCount"] else 0.5
-                known = conditions.get(split["featureIndex"], Condition(split["featureIndex"]))
-                stack.append(
-                    (
-                        node[side],
-                        {**conditions, known.feature: _narrow(known, split, side == "leftChild", went)},
-                        reached * went,
-                    )
-                )
-    return leaves, base
-
-
-def _narrow(c: Condition, split, left: bool, went: float) -> Condition:
-    """The condition after one more test; `went` is the share of rows that took this side."""
-    low, high, allowed = c.low, c.high, c.allowed
-    count = split["numCategories"]
-    if count > 0:
-        side = set(split["leftCategoriesOrThreshold"])
-        if not left:
-            side = {float(k) for k in range(count)} - side
-        allowed = frozenset(side) if allowed is None else allowed & frozenset(side)
-    else:
-        cut = split["leftCategoriesOrThreshold"][0]
-        if left:
-            high = min(high, cut)
-        else:
-            low = max(low, cut)
-    return Condition(c.feature, low, high, allowed, c.cover * went)
 
+def packed_trees(spark: SparkSession, model: LoanModel | LeafwiseModel) -> tuple[list[PackedTree], float]:
+    """(trees as arrays, base value): the margin's expectation and what moves it."""
+    if isinstance(model, LeafwiseModel):
+        columns = ["tree", "id", "feature", "left", "right", "value", "cover", "codes"]
+        rows = pd.DataFrame(list(model.node_rows()), columns=columns).assign(cut=0.0)
+        trees = [_pack(g) for _, g in rows.groupby("tree")]
+        return trees, model.start + sum(t.base() for t in trees)
+    weights = list(model.trees.treeWeights)
 
-def contributions(x: np.ndarray, leaves: list[Leaf], width: int) -> np.ndarray:
-    """(rows, features) contributions for a batch of feature vectors."""
-    out = np.zeros((x.shape[0], width))
-    points = {}
-    for leaf in leaves:
-        m = len(leaf.conditions)
-        met = np.empty((m, x.shape[0]))
-        cover = np.array([c.cover for c in leaf.conditions])
-        for j, c in enumerate(leaf.conditions):
-            v = x[:, c.feature]
-            ok = (v > c.low) & (v <= c.high)
-            if c.allowed is not None:
-                ok &= np.isin(v, list(c.allowed))
-            met[j] = ok
-        if m not in points:
-            t, w = np.polynomial.legendre.leggauss((m + 1) // 2)
-            points[m] = list(zip((t + 1) / 2, w / 2))
-        for t, w in points[m]:
-            factors = t * met + ((1 - t) * cover)[:, None]
-            # Zero covers can make a factor zero, so products without one factor are built from
-            # both ends instead of by division.
-            before = np.ones_like(factors)
-            after = np.ones_like(factors)
-            before[1:] = np.cumprod(factors[:-1], axis=0)
-            after[:-1] = np.cumprod(factors[:0:-1], axis=0)[::-1]
-            gain = leaf.value * w * (met - cover[:, None]) * before * after
-            for j, c in enumerate(leaf.conditions):
-                out[:, c.feature] += gain[j]
-    return out
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        tree = int(rows["tree"].iloc[0])
+        return pd.DataFrame({"tree": [tree], "data": [pickle.dumps(_pack(rows, weights[tree]))]})
 
+    packs = _node_table(spark, model).groupBy("tree").applyInPandas(one, "tree int, data binary")
+    # As large as the model, which every worker needs; nodes reach the driver as packed arrays only.
+    trees = [pickle.loads(bytes(r.data)) for r in sorted(packs.collect(), key=lambda r: r.tree)]
+    return trees, sum(t.base() for t in trees)
 
-def explain(model: LoanModel, prepared: DataFrame, scale: float = 2.0) -> DataFrame:
-    """(loan_id, base, margin, probability, contributions): one row per loan, one array per row.
 
-    Contributions are in feature order and add up to margin - base. Boosted trees only; `scale` turns
-    the margin into the log-odds (probability = 1 / (1 + exp(-scale * margin))).
+def explain(model: LoanModel | LeafwiseModel, prepared: DataFrame) -> DataFrame:
+    """(loan_id, base, margin, probability, values, contributions): one row per loan, arrays in feature order.
+
+    Contributions add up to margin - base. The margin of Spark's boosted trees is half the log-odds, that of
+    leaf-wise trees is the log-odds. `values` are the feature values the trees see. Boosted trees only.
     """
     if model.profile == "forest":
         raise ValueError("contributions are defined on the margin of boosted trees")
     spark = prepared.sparkSession
-    leaves, base = leaves_of(spark, model)
+    trees, base = packed_trees(spark, model)
     width = len(model.features)
-    shared = spark.sparkContext.broadcast(leaves)
+    shared = spark.sparkContext.broadcast(trees)
+    scored = model.transform(prepared)
+    if isinstance(model, LeafwiseModel):
+        binning = model.binning
+
+        @F.pandas_udf("array<double>")
+        def codes(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            for columns in batches:
+                yield pd.Series(list(binning.codes(*columns).astype(float)))
+
+        inputs = codes(*binning.inputs())
+    else:
+        inputs = vector_to_array("features")
 
     @F.pandas_udf("array<double>")
     def explained(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = shared.value
         for batch in batches:
             x = np.stack(batch.to_numpy()) if len(batch) else np.zeros((0, width))
-            yield pd.Series(list(contributions(x, table, width)))
+            yield pd.Series(list(contributions(x, shared.value, width)))
 
-    scored = model.transform(prepared)
-    margin = vector_to_array("rawPrediction")[1]
     return scored.select(
         ID,
         F.lit(base).alias("base"),
-        margin.alias("margin"),
+        vector_to_array("rawPrediction")[1].alias("margin"),
         vector_to_array("probability")[1].alias("probability"),
-        vector_to_array("features").alias("values"),
-        explained(vector_to_array("features")).alias("contributions"),
-    )
+        inputs.alias("values"),
+    ).withColumn("contributions", explained("values"))
 
 
 def _named(names: list[str]) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +68,15 @@ def local_copy(df: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame | None:
         return None
     return df.sparkSession.createDataFrame(rows, df.schema)
 
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand `rows` rows at a time to Python in what is executed inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, "10000")
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

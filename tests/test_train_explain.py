@@ -123,42 +123,64 @@ def test_contributions_add_up_to_the_margin(explained, model):
 
 def test_contributions_equal_shapley_values_by_enumeration(spark, model, prepared):
     """Shapley values of the path-dependent expectation, summed over all feature subsets."""
-    nodes, weights = explain._node_rows(spark, model)
-    trees = {}
-    for n in nodes:
-        trees.setdefault(n["treeID"], {})[n["id"]] = n
-    used = sorted({n["split"]["featureIndex"] for n in nodes if n["leftChild"] >= 0})[:14]
-    assert len({n["split"]["featureIndex"] for n in nodes if n["leftChild"] >= 0}) <= 14
-
-    def expect(by_id, i, x, known):
-        n = by_id[i]
-        if n["leftChild"] < 0:
-            return n["prediction"]
-        s = n["split"]
-        a, b = by_id[n["leftChild"]], by_id[n["rightChild"]]
-        if s["featureIndex"] in known:
-            v = x[s["featureIndex"]]
-            left = v in s["leftCategoriesOrThreshold"] if s["numCategories"] > 0 else v <= s["leftCategoriesOrThreshold"][0]
-            return expect(by_id, n["leftChild"] if left else n["rightChild"], x, known)
-        return (a["rawCount"] * expect(by_id, n["leftChild"], x, known) + b["rawCount"] * expect(by_id, n["rightChild"], x, known)) / n["rawCount"]
-
     x = np.array(model.transform(prepared.orderBy("loan_id").limit(3)).select(vector_to_array("features")).first()[0])
-    want = np.zeros(19)
-    for t, by_id in trees.items():
-        mine = sorted({n["split"]["featureIndex"] for n in by_id.values() if n["leftChild"] >= 0})
+    trees, base = explain.packed_trees(spark, model)
+    want, empty = enumerated(trees, x, 19)
+    assert np.allclose(explain.contributions(x[None, :], trees, 19)[0], want, atol=1e-10)
+    assert base == pytest.approx(empty, abs=1e-10)
+
+
+def enumerated(trees, x, width):
+    """(Shapley values by all subsets of each tree's features, value of the empty subset)."""
+
+    def expect(tree, i, known):
+        if tree.feature[i] < 0:
+            return tree.value[i]
+        a, b = int(tree.left[i]), int(tree.right[i])
+        if tree.feature[i] in known:
+            return expect(tree, a if tree.goes_left(i, x[None, :])[0] else b, known)
+        return tree.share[a] * expect(tree, a, known) + tree.share[b] * expect(tree, b, known)
+
+    want, empty = np.zeros(width), 0.0
+    for tree in trees:
+        mine = sorted({int(f) for f in tree.feature if f >= 0})
         m = len(mine)
+        empty += expect(tree, 0, set())
         for i in mine:
             rest = [j for j in mine if j != i]
             for k in range(m):
                 share = 1 / (m * len(list(itertools.combinations(rest, k))))
                 for known in itertools.combinations(rest, k):
-                    gain = expect(by_id, 0, x, {*known, i}) - expect(by_id, 0, x, set(known))
-                    want[i] += weights[t] * share * gain
-    leaves, base = explain.leaves_of(spark, model)
-    got = explain.contributions(x[None, :], leaves, 19)[0]
-    assert used and np.allclose(got, want, atol=1e-10)
-    empty = sum(weights[t] * expect(by_id, 0, x, set()) for t, by_id in trees.items())
-    assert base == pytest.approx(empty, abs=1e-10)
+                    want[i] += share * (expect(tree, 0, {*known, i}) - expect(tree, 0, set(known)))
+    return want, empty
+
+
+def test_contributions_of_random_trees_with_repeated_features():
+    """Features that come back on a path, categories, and children few rows reached."""
+    source = np.random.default_rng(4)
+    for _ in range(8):
+        feature, left, right, value, share, cut, codes = [], [], [], [], [], [], []
+
+        def put(depth, part):
+            at = len(feature)
+            inner = depth < 6 and source.random() < 0.85
+            f = int(source.integers(0, 4)) if inner else -1
+            feature.append(f), left.append(0), right.append(0), value.append(source.normal()), share.append(part)
+            cut.append(source.normal())
+            codes.append(np.array([0.0, 2.0]) if f == 3 else None)
+            if inner:
+                q = float(source.choice([0.001, 0.3, 0.8]))
+                left[at] = put(depth + 1, q)
+                right[at] = put(depth + 1, 1 - q)
+            return at
+
+        put(0, 1.0)
+        tree = explain.PackedTree(*map(np.array, (feature, left, right, value, share, cut)), codes)
+        x = np.column_stack([source.normal(size=(5, 3)), source.integers(0, 4, 5)])
+        got = explain.contributions(x, [tree], 4)
+        for row, mine in zip(x, got):
+            assert np.allclose(mine, enumerated([tree], row, 4)[0], atol=1e-10)
+        assert tree.base() == pytest.approx(enumerated([tree], x[0], 4)[1])
 
 
 def test_reasons_waterfall_importance_and_dependence(explained, model, tmp_path):
