@@ -21,6 +21,15 @@ def split_column(key: str = ID, test_percent: int = 20, seed: int = SEED) -> Col
     return F.when(in_test, F.lit("test")).otherwise(F.lit("train"))
 
 
+def three_splits(
+    key: str = ID, test_percent: int = 20, validation_percent: int = 20, seed: int = SEED
+) -> Column:
+    """train, validation or test; the test rows are those of `split_column`."""
+    place = stable_hash(F.col(key), seed) % 100
+    held = F.when(place < test_percent, "test").when(place < test_percent + validation_percent, "validation")
+    return held.otherwise(F.lit("train"))
+
+
 def fold_column(key: str = ID, folds: int = 5, seed: int = SEED) -> Column:
     return (stable_hash(F.col(key), seed) % folds).cast("int")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lendframe.functions.cleaning import target_code
 from lendframe.operators import metrics
 from lendframe.operators.encode import fitted_labels, indexer, vocabulary
-from lendframe.operators.split import SEED, class_weights, fold_column, split_column
+from lendframe.operators.split import SEED, class_weights, fold_column, split_column, three_splits
 from lendframe.schema import CATEGORICAL, ID, NUMERIC, TARGET
 from lendframe.session import shared_dir
 
@@ -252,6 +252,19 @@ def train_and_evaluate(
     return model, split_metrics(model, rows)
 
 
+def train_and_test(
+    prepared: DataFrame, grow: Callable[..., Any], test_percent: int = 20, validation_percent: int = 20, **options: Any
+) -> tuple[Any, DataFrame]:
+    """(model, metrics of the train, validation and test splits); only the validation split stops the boosting.
+
+    `grow(rows, validation=rows, **options)` trains: `fit` of this module, or `leafwise.train_leafwise`.
+    """
+    rows = labelled(prepared).withColumn("split", three_splits(ID, test_percent, validation_percent))
+    part = lambda s: rows.filter(F.col("split") == s).drop("split")
+    model = grow(part("train"), validation=part("validation"), **options)
+    return model, split_metrics(model, rows)
+
+
 def with_folds(prepared: DataFrame, profile: str, folds: int) -> DataFrame:
     """Encoded labelled rows with their fold, kept on executors; unpersist when done."""
     shared_dir(prepared.sparkSession)

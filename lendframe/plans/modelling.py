@@ -7,7 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendframe.operators import explain, metrics, score, train
+from lendframe.operators import explain, leafwise, metrics, score, train
 from lendframe.operators.features import default_registry
 from lendframe.operators.lookup import align
 from lendframe.operators.search import Search
@@ -48,6 +48,79 @@ def _split_metrics(spark: SparkSession, sf_dir: str, profile: str) -> DataFrame:
     return spark.createDataFrame([tuple(r) for r in found], layout)
 
 
+# Trees of the two profiles as their users train them: what stops them is the validation split.
+LEAFWISE = {"n_estimators": 120, "num_leaves": 31, "max_depth": 6, "learning_rate": 0.05}
+STOP_AFTER = 25
+
+
+@lru_cache(maxsize=None)
+def _boosted(spark: SparkSession, sf_dir: str, best_first: bool) -> tuple[leafwise.LeafwiseModel, tuple]:
+    options = {"params": LEAFWISE} if best_first else {"best_first": False, "patience": STOP_AFTER}
+    model, found = train.train_and_test(stored(spark, sf_dir), leafwise.train_leafwise, **options)
+    return model, tuple(found.collect())
+
+
+def _boosted_metrics(spark: SparkSession, sf_dir: str, best_first: bool) -> DataFrame:
+    model, found = _boosted(spark, sf_dir, best_first)
+    grown = max(len(model.losses) - 1, len(model.trees))
+    layout = "split string, " + ", ".join(f"{m} double" for m in metrics.METRICS)
+    layout += ", threshold double, trees_grown int, trees_kept int"
+    return spark.createDataFrame([(*r, grown, len(model.trees)) for r in found], layout)
+
+
+@query("train_leafwise")
+def train_leafwise(spark, sf_dir):
+    """120 leaf-wise trees of up to 31 leaves, cut where the validation loss is lowest."""
+    return _boosted_metrics(spark, sf_dir, True)
+
+
+@query("train_depthwise")
+def train_depthwise(spark, sf_dir):
+    """The second profile in full: up to 722 trees of depth 5, stopped by the validation split."""
+    return _boosted_metrics(spark, sf_dir, False)
+
+
+@query(
+    "leafwise_invariants",
+    "SELECT loan_id, TRUE AS sums_to_one, TRUE AS fits_margin, TRUE AS adds_up FROM prepared",
+    PREPARED_PARTS,
+)
+def leafwise_invariants(spark, sf_dir):
+    """Per prepared loan: what must hold between probability, margin and contributions of the leaf-wise trees."""
+    model, _ = _boosted(spark, sf_dir, True)
+    total = F.aggregate("contributions", F.col("base"), lambda a, c: a + c)
+    odds = 1 / (1 + F.exp(-F.col("margin")))
+    scored = score.score(model, stored(spark, sf_dir)).select("loan_id", "p_repaid", "p_default")
+    return explain.explain(model, stored(spark, sf_dir)).join(scored, "loan_id").select(
+        "loan_id",
+        (F.abs(F.col("p_repaid") + F.col("p_default") - 1) < 1e-12).alias("sums_to_one"),
+        (F.abs(odds - F.col("p_repaid")) < 1e-9).alias("fits_margin"),
+        (F.abs(total - F.col("margin")) < 1e-9).alias("adds_up"),
+    )
+
+
+@query(
+    "booster_invariants",
+    "SELECT profile, TRUE AS stopped_or_full, TRUE AS kept_the_best, TRUE AS better_than_none, TRUE AS three_splits "
+    "FROM (VALUES ('leafwise'), ('depthwise')) p(profile)",
+    (),
+)
+def booster_invariants(spark, sf_dir):
+    """Per profile: the stop rule, the cut at the lowest validation loss, and what was measured."""
+    rows = []
+    for best_first, patience, most in ((True, leafwise.PATIENCE, LEAFWISE["n_estimators"]), (False, STOP_AFTER, 722)):
+        model, found = _boosted(spark, sf_dir, best_first)
+        losses = model.losses
+        best = losses.index(min(losses))
+        grown = len(losses) - 1
+        stopped = grown - best == patience and grown <= most
+        full = grown == most and grown - best <= patience
+        splits = sorted(r["split"] for r in found) == ["test", "train", "validation"]
+        rows.append((model.profile, stopped or full, len(model.trees) == best, losses[best] < losses[0], splits))
+    layout = "profile string, stopped_or_full boolean, kept_the_best boolean, better_than_none boolean, three_splits boolean"
+    return spark.createDataFrame(rows, layout)
+
+
 @query("train_gbt")
 def train_gbt(spark, sf_dir):
     return _split_metrics(spark, sf_dir, "gbt")
@@ -138,14 +211,12 @@ def score_requests(spark, sf_dir):
     return scorer.score_requests(loans(spark, sf_dir).drop("loan_status"))[0]
 
 
-_OUTCOME_BOUNDS = "annual_inc IS NULL OR annual_inc < 0"
-
-
 @query(
     "request_outcomes",
-    f"SELECT loan_id, CASE WHEN {_OUTCOME_BOUNDS} OR annual_inc <= 0 OR total_acc <= 0 OR {LINE_DATE_SQL} IS NULL "
-    f"THEN 'refused' ELSE 'scored' END AS outcome, CASE WHEN {_OUTCOME_BOUNDS} THEN 'bounds' "
-    f"WHEN annual_inc <= 0 OR total_acc <= 0 OR {LINE_DATE_SQL} IS NULL THEN 'preparation' END AS stage FROM loans",
+    "SELECT loans.loan_id, CASE WHEN p.loan_id IS NULL THEN 'refused' ELSE 'scored' END AS outcome, "
+    "CASE WHEN annual_inc IS NULL OR annual_inc < 0 THEN 'bounds' WHEN p.loan_id IS NULL THEN 'preparation' END AS stage "
+    "FROM loans LEFT JOIN (SELECT loan_id FROM prepared) p ON p.loan_id = loans.loan_id",
+    PREPARED_PARTS,
 )
 def request_outcomes(spark, sf_dir):
     """Every request once: scored, or refused by the bounds or by preparation."""
@@ -199,13 +270,12 @@ def shap_values(spark, sf_dir):
     return explain.long_contributions(explained, names)
 
 
-@query("shap_additivity")
+@query("shap_additivity", "SELECT count(*) AS rows, TRUE AS adds_up FROM prepared", PREPARED_PARTS)
 def shap_additivity(spark, sf_dir):
     explained, _ = _explained(spark, sf_dir)
     total = F.aggregate("contributions", F.col("base"), lambda a, c: a + c)
-    return explained.agg(
-        F.count(F.lit(1)).alias("rows"), F.max(F.abs(total - F.col("margin"))).alias("largest_gap")
-    )
+    gap = F.max(F.abs(total - F.col("margin")))
+    return explained.agg(F.count(F.lit(1)).alias("rows"), (gap < 1e-9).alias("adds_up"))
 
 
 @query("shap_importance")
