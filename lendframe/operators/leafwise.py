@@ -68,6 +68,7 @@ CATEGORY_SMOOTHING = 10.0  # hessian added when categories are ordered
 MIN_HESSIAN = 1e-3
 _UNIT = 1 << 24  # fixed-point steps per unit of gradient
 _BATCH = 1 << 16
+_TASK_ROWS = 1 << 17  # fewer rows are not worth a task of their own
 
 
 @dataclass
@@ -129,10 +130,15 @@ class Tree:
     depth: int
 
     def leaves(self, bins: np.ndarray) -> np.ndarray:
-        at = np.zeros(len(bins), np.int64)
-        rows = np.arange(len(bins))
+        """Leaf of every row of a contiguous matrix of bin numbers."""
+        n, width = bins.shape
+        cells, first = bins.ravel(), np.arange(n) * width
+        goes, widest = self.goes_left.ravel(), self.goes_left.shape[1]
+        after = np.stack([self.right, self.left], axis=1).ravel()
+        at = np.zeros(n, np.int64)
         for _ in range(self.depth):
-            at = np.where(self.goes_left[at, bins[rows, self.feature[at]]], self.left[at], self.right[at])
+            bin_ = cells.take(first + self.feature.take(at))
+            at = after.take(2 * at + goes.take(at * widest + bin_))
         return at
 
 
@@ -367,9 +373,9 @@ class _Pass:
         return _row_type(len(self.layout.widths))
 
     def margins(self, rows: np.ndarray) -> np.ndarray:
-        margin = rows["margin"].copy()
+        margin, bins = rows["margin"].copy(), np.ascontiguousarray(rows["bins"])
         for tree in self.done:
-            margin += tree.value[tree.leaves(rows["bins"])]
+            margin += tree.value.take(tree.leaves(bins))
         return margin
 
     def histograms(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,7 +398,7 @@ class _Pass:
             rows = rows[use]
             at = np.zeros(len(rows), np.int64)
             if not root:
-                at = self.slots[self.routing.leaves(rows["bins"])]
+                at = self.slots.take(self.routing.leaves(np.ascontiguousarray(rows["bins"])))
                 rows, at = rows[at >= 0], at[at >= 0]
             p = 1 / (1 + np.exp(-self.margins(rows)))
             weight, bins = rows["weight"] * _UNIT, rows["bins"]
@@ -590,7 +596,10 @@ def train_leafwise(
     key = F.xxhash64(*binning.features, "label")
     table = marked.select(cells(key, F.col("label").cast("double"), "held", *binning.inputs()).alias("row"))
     with arrow_rows(rows.sparkSession, _BATCH):
-        return _boost(materialise(table, "binned"), binning, growth, p, start, patience, validation is not None)
+        binned = materialise(table, "binned")
+        # Small tables in few tasks: a pass costs more in tasks and shuffled histograms than in rows.
+        binned = binned.coalesce(-(-(neg + pos) // _TASK_ROWS))
+        return _boost(binned, binning, growth, p, start, patience, validation is not None)
 
 
 def _boost(
@@ -605,10 +614,10 @@ def _boost(
     losses: list[float] = []
     done: list[Tree] = []
     rows = table.persist(StorageLevel.MEMORY_AND_DISK)
-    single = rows.rdd.getNumPartitions() == 1
+    parts = rows.rdd.getNumPartitions()
 
     def passed(**more: Any) -> dict[int, np.ndarray]:
-        return _summed(rows, single, _Pass(layout, done, len(trees), share, **more))
+        return _summed(rows, parts == 1, _Pass(layout, done, len(trees), share, **more))
 
     def measure(found: Mapping[int, np.ndarray]) -> None:
         if validated:
@@ -639,10 +648,9 @@ def _boost(
             done.append(grown)
             if len(done) == SNAPSHOT:
                 fresh = rows.mapInArrow(_Pass(layout, done, 0, 1.0).written, table.schema)
-                fresh = materialise(fresh, "margins").persist(StorageLevel.MEMORY_AND_DISK)
+                fresh = materialise(fresh, "margins").coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
                 rows.unpersist()
                 rows, done = fresh, []
-                single = rows.rdd.getNumPartitions() == 1
         if validated and len(losses) == len(trees):
             measure(passed())
     finally:

@@ -1,8 +1,7 @@
+import datetime
 import os
 import sys
 
-import numpy as np
-import pandas as pd
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -10,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from check_queries import DATA, connect, session  # noqa: E402
 
-from lendframe.schema import LOAN_SCHEMA  # noqa: E402
+from lendframe.schema import LOAN_RULES, LOAN_SCHEMA  # noqa: E402
 from lendframe.session import tune  # noqa: E402
 
 
@@ -29,54 +28,52 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
-def sample_frame(n=1000, seed=42):
-    """Synthetic raw loans with the columns, values and gaps described in FIXTURES.md."""
-    r = np.random.default_rng(seed)
-
-    def pick(values, p=None):
-        return [values[i] for i in r.choice(len(values), n, p=p)]
-
-    start = pd.Timestamp("2000-01-01")
-    opened = [start + pd.Timedelta(days=int(d)) for d in r.integers(0, 7000, n)]
-    issued = [pd.Timestamp("2020-01-01") + pd.Timedelta(days=int(d)) for d in r.integers(0, 365, n)]
-    frame = {
-        "loan_id": list(range(n)),
-        "loan_amnt": r.uniform(1000, 40000, n),
-        "term": pick([" 36 months", " 60 months"]),
-        "int_rate": r.uniform(5, 30, n),
-        "installment": r.uniform(50, 1500, n),
-        "grade": pick(list("ABCDEFG")),
-        "sub_grade": pick(["A1", "B2", "C3", "D4"]),
-        "emp_title": pick(["Engineer", "Manager", "Teacher", None]),
-        "emp_length": pick(["10+ years", "5 years", "< 1 year", None]),
-        "home_ownership": pick(["RENT", "OWN", "MORTGAGE"]),
-        "annual_inc": r.uniform(30000, 200000, n),
-        "verification_status": pick(["Verified", "Source Verified", "Not Verified"]),
-        "issue_d": [d.date() for d in issued],
-        "loan_status": pick(["Fully Paid", "Charged Off"], [0.8, 0.2]),
-        "purpose": pick(["debt_consolidation", "credit_card", "home_improvement"]),
-        "title": pick(["Debt consolidation", None]),
-        "dti": r.uniform(0, 40, n),
-        "earliest_cr_line": [d.strftime("%b-%Y") for d in opened],
-        "open_acc": r.integers(1, 30, n).astype(float),
-        "pub_rec": r.choice([0.0, 1.0, 2.0], n, p=[0.8, 0.15, 0.05]),
-        "revol_bal": r.uniform(0, 50000, n),
-        "revol_util": r.uniform(0, 100, n),
-        "total_acc": r.integers(5, 50, n).astype(float),
-        "initial_list_status": pick(["f", "w"]),
-        "application_type": pick(["Individual", "Joint App"], [0.95, 0.05]),
-        "mort_acc": pick([0.0, 1.0, 2.0, 3.0, None]),
-        "pub_rec_bankruptcies": pick([0.0, 1.0, None], [0.9, 0.05, 0.05]),
-        "address": pick(["1 Main Street", "2 Side Street"]),
-    }
-    columns = [f.name for f in LOAN_SCHEMA]
-    python = [v.tolist() if isinstance(v, np.ndarray) else v for v in (frame[c] for c in columns)]
-    return list(zip(*python))
+# Numbers lie between two ends, within the rules' ranges and touching them where the rules say "inclusive".
+NUMBERS = {
+    "loan_amnt": (0.5, 61_000.0), "int_rate": (0.0, 33.3), "installment": (12.5, 2_222.0), "annual_inc": (1.0, 410_000.0),
+    "dti": (0.0, 100.0), "revol_bal": (0.0, 90_000.0), "revol_util": (0.0, 200.0),
+}
+COUNTS = {"open_acc": 44, "pub_rec": 6, "total_acc": 37, "mort_acc": 7, "pub_rec_bankruptcies": 4}
+# Texts the rules do not list.
+WORDS = {
+    "sub_grade": ["C1", "F5"], "emp_title": ["Nurse", "Driver, night shift", "Ärztin"], "title": ["car", "  roof "],
+    "purpose": ["car", "medical", "moving", "vacation", "wedding"], "application_type": ["Individual", "Joint App"],
+    "address": ["9 Elm Rd, Apt 4", "Straße 7"],
+    "emp_length": ["< 1 year", "1 year", *[f"{k} years" for k in range(2, 10)], "10+ years", "n/a"],
+}
+# One row in so many lacks the value: beyond the rules' limits for the first five, within them for the last.
+GAPS = {"emp_title": 4, "title": 3, "emp_length": 7, "mort_acc": 6, "pub_rec_bankruptcies": 30, "revol_util": 250}
+
+
+def place(i, j):
+    """Row i's place between the ends of column j: evenly spread, in an order of its own per column."""
+    return ((i + 1) * (0.6180339887498949 + 0.0137 * j)) % 1.0
+
+
+def raw_loan(i):
+    """The i-th raw loan, made from the rules; every row can be prepared."""
+    row = {"loan_id": i, "issue_d": datetime.date(2021, 1 + i % 12, 1 + i % 28)}
+    for j, field in enumerate(LOAN_SCHEMA):
+        name, at = field.name, place(i, j)
+        texts = LOAN_RULES.allowed.get(name) or WORDS.get(name)
+        if name in GAPS and i % GAPS[name] == 1:
+            row[name] = None
+        elif name in NUMBERS:
+            low, high = NUMBERS[name]
+            row[name] = low if i == 0 else high if i == 2 else round(low + at * (high - low), 2)
+        elif name in COUNTS:
+            row[name] = 1.0 + int(at * COUNTS[name]) if name.endswith("_acc") else float(int(at * at * COUNTS[name]))
+        elif texts:
+            row[name] = texts[int(at * len(texts))]
+    row["earliest_cr_line"] = datetime.date(1971 + i % 49, 1 + i % 12, 1).strftime("%b-%Y")
+    late = 0.15 * (row["dti"] > 40) + 0.2 * (row["grade"] in "FG") + 0.1 * (row["term"] == " 60 months")
+    row["loan_status"] = "Charged Off" if place(i, 71) < 0.05 + late else "Fully Paid"
+    return tuple(row[f.name] for f in LOAN_SCHEMA)
 
 
 @pytest.fixture(scope="session")
 def raw(spark):
-    return spark.createDataFrame(sample_frame(), LOAN_SCHEMA).cache()
+    return spark.createDataFrame([raw_loan(i) for i in range(1_000)], LOAN_SCHEMA).cache()
 
 
 def loan(**changes):

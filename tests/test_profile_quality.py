@@ -10,7 +10,7 @@ from lendframe.operators.features import Feature, default_registry
 from lendframe.schema import LOAN_RULES, RuleSet
 
 
-def test_reference_sample_breaks_the_null_limits_it_should(raw):
+def test_the_sample_breaks_the_null_limits_it_should(raw):
     found = quality.check_nulls(raw.drop("loan_id")).collect()
     assert {r["column"] for r in found if r["severity"] == "error"} == {
         "emp_title", "emp_length", "title", "mort_acc", "pub_rec_bankruptcies",
