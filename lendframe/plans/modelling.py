@@ -21,6 +21,7 @@ from lendframe.sources.lake import schema_inventory
 from lendframe.sources.registry import ModelRegistry, compare_versions, version_stages
 from lendframe.sources.store import FeatureStore
 from lendframe.session import work_path
+from lendframe.streaming import alerts
 
 # Small ensembles: the queries show the jobs, not the best model.
 QUICK = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0}
@@ -309,6 +310,61 @@ def shap_dependence(spark, sf_dir):
     return explain.dependence(explained, names, "dti", "int_rate")
 
 
+# Alerts
+
+_BASELINE_END = "2024-01-11"
+_WINDOW_CELLS = """
+    SELECT d, col, bin, count(*) AS k FROM (
+        SELECT CAST(ts AS DATE) AS d, 'value' AS col, CASE WHEN value IS NULL THEN '' ELSE CAST((
+            SELECT count(*) FROM cuts WHERE value > cut) AS VARCHAR) END AS bin FROM events
+        UNION ALL
+        SELECT CAST(ts AS DATE), 'event_type', CASE WHEN event_type IS NULL THEN '' WHEN event_type IN (
+            SELECT event_type FROM base) THEN event_type ELSE '?' END FROM events)
+    GROUP BY ALL
+"""
+
+
+@query(
+    "drift_alerts",
+    f"""
+    WITH base AS (SELECT * FROM events WHERE ts < TIMESTAMP '{_BASELINE_END}'),
+    cuts AS (SELECT DISTINCT unnest(quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS cut FROM base),
+    cells AS ({_WINDOW_CELLS}),
+    p AS (SELECT col, bin, sum(k) / (SELECT count(*) FROM base) AS p FROM cells WHERE d < DATE '{_BASELINE_END}' GROUP BY ALL),
+    days AS (SELECT CAST(ts AS DATE) AS d, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') / count(*) AS e
+        FROM events GROUP BY ALL),
+    bins AS (SELECT DISTINCT col, bin FROM cells),
+    psi AS (
+        SELECT days.d, bins.col, sum((greatest(coalesce(k, 0) / n, 1e-6) - greatest(coalesce(p, 0), 1e-6))
+            * ln(greatest(coalesce(k, 0) / n, 1e-6) / greatest(coalesce(p, 0), 1e-6))) AS psi
+        FROM days CROSS JOIN bins LEFT JOIN p ON p.col = bins.col AND p.bin = bins.bin
+            LEFT JOIN cells c ON c.d = days.d AND c.col = bins.col AND c.bin = bins.bin
+        GROUP BY ALL)
+    SELECT CAST(days.d AS VARCHAR) AS day, n AS rows, e AS error_rate, round(v.psi, 9) AS psi_value,
+        round(t.psi, 9) AS psi_event_type,
+        concat_ws(',', CASE WHEN e > 0.01 THEN 'error_rate' END, CASE WHEN v.psi > 0.1 THEN 'value' END,
+            CASE WHEN t.psi > 0.1 THEN 'event_type' END) AS alerts
+    FROM days JOIN psi v ON v.d = days.d AND v.col = 'value' JOIN psi t ON t.d = days.d AND t.col = 'event_type'
+    """,
+    (),
+)
+def drift_alerts(spark, sf_dir):
+    """Drift of value and event type against the first ten days, and error rate, per day; computed as a stream."""
+    events = table(spark, sf_dir, "events")
+    watched = alerts.baseline(events.where(f"ts < TIMESTAMP_NTZ '{_BASELINE_END}'"), ["event_type"], ["value"])
+    watched.sort(key=lambda w: w.name, reverse=True)
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 4)
+    # One file or a folder of files; files may come in any order of time, so the delay spans the table.
+    rows = reader.option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events*.parquet")
+    out = work_path(spark, "alerts")
+    measured = alerts.monitor(rows, watched, F.col("event_type") == "error", delay="3650 days")
+    alerts.alert_stream(measured, out, work_path(spark, "alerts-checkpoint")).awaitTermination()
+    day = F.date_from_unix_date((F.unix_seconds("window_start") / 86_400).cast("int")).cast("string").alias("day")
+    raised = F.array_join("alerts", ",").alias("alerts")
+    indexes = [F.round(c, 9).alias(c) for c in ("psi_value", "psi_event_type")]
+    return alerts.newest_windows(spark, out).select(day, "rows", "error_rate", *indexes, raised)
+
+
 # Registry and feature store
 
 
