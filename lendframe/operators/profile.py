@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from itertools import combinations
+import math
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,9 +14,6 @@ from pyspark.sql import types as T
 from lendframe.functions.cleaning import credit_line_date
 from lendframe.operators.ranking import exact_quantiles, number
 
-# Pairs whose moments one aggregate holds; more pairs are more reads, not more rows.
-PAIRS_PER_READ = 100
-
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
@@ -193,34 +192,91 @@ def corrected_skewness(c: str) -> Column:
     return F.when(n > 2, F.skewness(c) * factor)
 
 
-def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature_1, feature_2, correlation) for every unordered pair, each over its own complete rows.
+def _block_moments(x: np.ndarray) -> np.ndarray:
+    """(columns, columns, 6): rows, means, squared and crossed deviations of every pair over the rows that have both."""
+    mask = ~np.isnan(x)
+    n_own = mask.sum(axis=0)
+    shift = np.where(n_own > 0, np.where(mask, x, 0.0).sum(axis=0) / np.maximum(n_own, 1), 0.0)
+    z, m = np.where(mask, x - shift, 0.0), mask.astype(float)
+    n = m.T @ m
+    safe = np.maximum(n, 1.0)
+    sums, squares, crossed = z.T @ m, (z * z).T @ m, z.T @ z
+    mean = sums / safe
+    return np.stack(
+        [n, shift[:, None] + mean, shift[None, :] + mean.T, squares - sums * mean, (squares - sums * mean).T, crossed - sums * mean.T],
+        axis=2,
+    )
+
+
+def _merged_moments(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Moments of two sets of rows together."""
+    n = a[..., 0] + b[..., 0]
+    share = b[..., 0] / np.maximum(n, 1.0)
+    first, second = b[..., 1] - a[..., 1], b[..., 2] - a[..., 2]
+    weight = a[..., 0] * share
+    return np.stack(
+        [
+            n, a[..., 1] + first * share, a[..., 2] + second * share, a[..., 3] + b[..., 3] + first * first * weight,
+            a[..., 4] + b[..., 4] + second * second * weight, a[..., 5] + b[..., 5] + first * second * weight,
+        ],
+        axis=-1,
+    )
 
-    Rows are not copied: one aggregate holds the moments of `PAIRS_PER_READ` pairs.
+
+def _correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(i, j, correlation) of every ordered pair of column places, from one read.
+
+    A task holds the masked moments of all pairs, as matrix products of whole Arrow batches; per first column one
+    task merges what the others found. NULL below two rows or without spread.
     """
-    pairs = list(combinations(columns, 2))
-    layout = "feature_1 string, feature_2 string, correlation double"
-    out = df.sparkSession.createDataFrame([], layout)
-    for at in range(0, len(pairs), PAIRS_PER_READ):
-        found = [
-            F.struct(
-                F.lit(a).alias("feature_1"),
-                F.lit(b).alias("feature_2"),
-                F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias("correlation"),
-            )
-            for a, b in pairs[at : at + PAIRS_PER_READ]
-        ]
-        rows = df.agg(F.array(*found).alias("r")).select(F.explode("r").alias("r")).select("r.*")
-        out = rows if at == 0 else out.unionByName(rows)
-    return out
+    k = len(columns)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((k, k, 6))
+        for batch in batches:
+            x = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            total = _merged_moments(total, _block_moments(np.column_stack(x).astype(float)))
+        data = pa.array([row.tobytes() for row in total], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), data], names=["i", "data"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = np.frombuffer(data).reshape(k, 6)
+                found[i] = _merged_moments(found[i], own) if i in found else own
+        rows = []
+        for i, m in found.items():
+            for j in range(k):
+                spread = math.sqrt(max(m[j, 3], 0.0)) * math.sqrt(max(m[j, 4], 0.0))
+                rows.append((i, j, float(m[j, 5]) / spread if m[j, 0] > 1 and spread > 0 else None))
+        i, j, c = zip(*rows) if rows else ((), (), ())
+        arrays = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(c, pa.float64())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["i", "j", "correlation"])
+
+    plain = df.select(*[number(f"`{c}`").alias(f"_{n}") for n, c in enumerate(columns)])
+    parts = plain.mapInArrow(partial, "i int, data binary").repartition("i")
+    found = parts.mapInArrow(merge, "i int, j int, correlation double")
+    # Every pair has a row, for an empty table too; both sides hold columns squared rows.
+    place = F.col("id")
+    pairs = df.sparkSession.range(k * k).select((place / k).cast("int").alias("i"), (place % k).cast("int").alias("j"))
+    return pairs.join(found, ["i", "j"], "left")
+
+
+def _named_pairs(found: DataFrame, columns: Sequence[str]) -> DataFrame:
+    names = F.array(*map(F.lit, columns))
+    return found.select(names[F.col("i")].alias("feature_1"), names[F.col("j")].alias("feature_2"), "correlation")
+
+
+def pair_correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature_1, feature_2, correlation) for every unordered pair, each over its own complete rows; NaN counts as NULL."""
+    return _named_pairs(_correlations(df, columns).where("i < j"), columns)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature_1, feature_2, correlation) for every ordered pair, Pearson, pairwise complete."""
-    pairs = pair_correlations(df, columns)
-    turned = pairs.select(F.col("feature_2").alias("feature_1"), F.col("feature_1").alias("feature_2"), "correlation")
-    same = df.sparkSession.createDataFrame([(c, c, 1.0) for c in columns], pairs.schema)
-    return pairs.unionByName(turned).unionByName(same)
+    same = F.when(F.col("i") == F.col("j"), 1.0).otherwise(F.col("correlation"))
+    return _named_pairs(_correlations(df, columns).withColumn("correlation", same), columns)
 
 
 def correlated_pairs(df: DataFrame, columns: Sequence[str], threshold: float = 0.8) -> DataFrame:

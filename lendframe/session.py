@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
@@ -18,8 +19,15 @@ LOOKUP_ROWS = 50_000
 SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
+PACKAGE_FOLDER = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply `SETTINGS` where the session still has Spark's own default."""
+    """Apply `SETTINGS` where the session still has Spark's own default.
+
+    Workers also get this package's folder on their path, for runs that were not given it at the start.
+    """
+    spark.sparkContext.environment.setdefault("PYTHONPATH", PACKAGE_FOLDER)
     defaults = {"spark.sql.codegen.hugeMethodLimit": "65535"}
     for name, value in SETTINGS.items():
         if spark.conf.get(name, defaults[name]) == defaults[name]:

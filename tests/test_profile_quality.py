@@ -104,6 +104,23 @@ def test_correlations(raw):
     assert profile.correlated_pairs(raw, list(pdf.columns), 0.99).isEmpty()
 
 
+def test_correlations_far_from_zero_with_gaps_and_without_spread(spark):
+    source = np.random.default_rng(6)
+    x = source.normal(size=(3000, 3)) + 1e9
+    x[:, 1] += x[:, 0] - 1e9
+    x[source.random((3000, 3)) < 0.2] = np.nan
+    pdf = pd.DataFrame(np.column_stack([x, np.full(3000, 7.0), np.full(3000, np.nan)]), columns=list("abcde"))
+    pdf.loc[0, "e"] = 1.0
+    df = spark.createDataFrame(pdf).repartition(11)
+    got = {(r["feature_1"], r["feature_2"]): r["correlation"] for r in profile.correlation_matrix(df, list("abcde")).collect()}
+    assert len(got) == 25 and all(got[(c, c)] == 1.0 for c in "abcde")
+    want = pdf.corr()
+    for a, b in [("a", "b"), ("b", "a"), ("a", "c"), ("c", "b")]:
+        assert got[(a, b)] == pytest.approx(want.loc[a, b], abs=1e-6)
+    assert all(got[p] is None for p in got if p[0] != p[1] and ("d" in p or "e" in p))
+    assert profile.pair_correlations(df.limit(0), ["a", "b"]).collect()[0]["correlation"] is None
+
+
 def test_feature_registry(raw):
     registry = default_registry(2025)
     out, skipped = registry.create(raw.drop("dti"), ["loan_to_income", "dti_bucket", "nonsense"])
