@@ -3,7 +3,8 @@
 Method: contiguous rank array. A short word keeps its parts, one between every two boundaries, and the rank of
 every adjacent pair in two flat arrays; the minimum rank is found by scanning, its boundary is deleted, and only
 the two neighbouring ranks are looked up again. Parts are ids, so a pair is looked up by one number. Words
-repeat, so a task remembers what it encoded.
+repeat, so a task remembers what it encoded. Words of more than `FLAT_PARTS` bytes, which are rare, are merged by the same
+rule from a heap of pairs, so that a text without any break costs n log n.
 
 Rows: one per input row. A null text counts as empty: no ids, empty decoded text. Repeated rows, ties
 and extra columns need no care, since every row is encoded by itself.
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import json
 from collections.abc import Callable
 
@@ -24,6 +26,9 @@ from lendframe.llm.common import per_text
 # Pre-tokens in each of the two generations a task remembers; a memory bound, not a limit on input.
 REMEMBERED = 150_000
 
+# The longest word whose ranks are scanned anew for every merge; time grows with the square of its parts.
+FLAT_PARTS = 200
+
 # The pre-tokeniser pattern that belongs to the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _NO_RANK = 1 << 62
@@ -73,6 +78,8 @@ class Vocabulary:
 
     def merge(self, word: bytes) -> list[int]:
         """Token ids of one pre-token."""
+        if len(word) > FLAT_PARTS:
+            return self._merge_long(word)
         parts = [self.byte_ids[b] for b in word]
         rank, merged = self.ranks.get, self.merged
         ranks = [rank(a << _SHIFT | b, _NO_RANK) for a, b in zip(parts, parts[1:])]
@@ -90,6 +97,36 @@ class Vocabulary:
         return parts
 
 
+    def _merge_long(self, word: bytes) -> list[int]:
+        """As `merge` for words too long to scan again after every merge: a heap of pairs over linked parts."""
+        parts: list[int] = [self.byte_ids[b] for b in word]
+        n = len(parts)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        rank, merged = self.ranks.get, self.merged
+        pairs = [(rank(a << _SHIFT | b, _NO_RANK), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
+        waiting = [p for p in pairs if p[0] != _NO_RANK]
+        heapq.heapify(waiting)
+        while waiting:
+            low, at = heapq.heappop(waiting)
+            right = after[at]
+            # A pair that has changed since it was filed, or whose left part is gone, is passed over.
+            if parts[at] < 0 or right == n or rank(parts[at] << _SHIFT | parts[right], _NO_RANK) != low:
+                continue
+            parts[at], parts[right] = merged[low], -1
+            after[at] = end = after[right]
+            if end < n:
+                before[end] = at
+                self._file(waiting, parts, at, end)
+            if before[at] >= 0:
+                self._file(waiting, parts, before[at], at)
+        return [p for p in parts if p >= 0]
+
+    def _file(self, waiting: list[tuple[int, int]], parts: list[int], left: int, right: int) -> None:
+        low = self.ranks.get(parts[left] << _SHIFT | parts[right], _NO_RANK)
+        if low != _NO_RANK:
+            heapq.heappush(waiting, (low, left))
+
+
 class _PairRanks:
     """Ranks of pairs in a file that ranks the merged bytes: there a rank is the id of the merged part."""
 

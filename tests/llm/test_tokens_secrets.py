@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -56,6 +57,13 @@ def _vocabulary():
     return _known[0]
 
 
+def test_a_very_long_pre_token(encoder, library):
+    source = random.Random(4)
+    for n, letters in ((bpe.FLAT_PARTS + 1, "ab"), (5_000, "aeé"), (300_000, "abcdefghijklmnopqrstuvwxyz")):
+        text = "".join(source.choice(letters) for _ in range(n))
+        assert encoder.vocabulary.merge(text.encode()) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_rank_files_equal_tiktoken():
     import base64
 
