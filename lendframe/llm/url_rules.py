@@ -107,7 +107,10 @@ def host_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]],
 def judge(pages: DataFrame, host_rules: Sequence[tuple[str, str, str]], mined: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:
     """`keep` columns, host, path, rule, verdict and the mined rule_id per row of `pages` (url)."""
     by_url = matched(pages, mined).select(F.col("url").alias("_url"), "rule_id")
-    rows = pages.select(*keep, "url").join(by_url, F.col("url") == F.col("_url"), "left")
+    # Null URLs match nothing; a key of their own per row keeps them out of one task.
+    spread = F.concat(F.lit("null "), F.xxhash64(*keep).cast("string"))
+    rows = pages.select(*keep, "url").withColumn("_key", F.coalesce("url", spread))
+    rows = rows.join(by_url, F.col("_key") == F.col("_url"), "left")
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     given = host_rule(host, path, host_rules, 1)
     other = F.when(F.col("rule_id").isNotNull(), "block").otherwise("allow")
