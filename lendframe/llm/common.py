@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,8 @@ _BASE_INVERSE = U64(pow(int(_BASE), -1, 1 << 64))
 # Distinct words a task remembers before it starts afresh; a memory bound, not a limit on input.
 REMEMBERED_WORDS = 100_000
 PACKAGE_FOLDER = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-TOKENIZERS = os.environ.get("CORPUS_TOKENIZERS", "/opt/tokenizers")
+# A folder of vocabulary files to use in place of the installed ones.
+TOKENIZERS = os.environ.get("CORPUS_TOKENIZERS")
 
 
 def arrow_batches(spark: SparkSession, rows: int = 250) -> SparkSession:
@@ -68,7 +70,8 @@ def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
 
 
 def vocabulary_path(name: str) -> str:
-    return os.path.join(TOKENIZERS, name)
+    """Place of a public vocabulary file."""
+    return os.path.join(TOKENIZERS, name) if TOKENIZERS else public_tokenizers.path(name)
 
 
 def words_of(text: str | None) -> list[bytes]:
