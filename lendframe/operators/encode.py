@@ -8,6 +8,7 @@ from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendframe.operators.lookup import attach
 from lendframe.session import LOOKUP_ROWS
 
 
@@ -27,7 +28,10 @@ def vocabulary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fitted_labels(vocab: DataFrame, limit: int = LOOKUP_ROWS) -> dict[str, list[str]]:
-    """The vocabulary on the driver, refused when it has more than `limit` entries."""
+    """The vocabulary on the driver, for encoders that are part of a model; refused beyond `limit` entries.
+
+    `code_by_table` encodes with a vocabulary of any size.
+    """
     rows = vocab.limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"vocabulary exceeds {limit} values: not a categorical column")
@@ -54,3 +58,21 @@ def label_encode(
     text = df.withColumns({c: F.col(c).cast("string") for c in columns})
     coded = indexer(labels, columns, suffix).transform(text)
     return coded.withColumns({c + suffix: F.col(c + suffix).cast("int") for c in columns})
+
+
+def code_by_table(
+    df: DataFrame, vocab: DataFrame, columns: Sequence[str], suffix: str = "_code", limit: int = LOOKUP_ROWS
+) -> DataFrame:
+    """Add an int code per column from a `vocabulary` table of any size.
+
+    As in `label_encode`, unknown values and NULL share the code after the last. A column's values are broadcast only
+    where their counted number is within `limit`; beyond it they are joined with salts.
+    """
+    sizes = {r["column"]: r["n"] for r in vocab.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for c in columns:
+        n = sizes.get(c, 0)
+        key, code = f"_{c}_text", f"{c}{suffix}"
+        values = vocab.where(F.col("column") == c).select(F.col("value").alias(key), F.col("code").alias(code))
+        keyed = df.withColumn(key, F.col(c).cast("string"))
+        df = attach(keyed, values, key, n <= limit).withColumn(code, F.coalesce(code, F.lit(n))).select(*df.columns, code)
+    return df

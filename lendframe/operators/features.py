@@ -167,12 +167,16 @@ def mutual_information(
     return inner.select("feature", gain.alias("importance")).orderBy(F.desc("importance"), "feature")
 
 
+def strongest_features(df: DataFrame, label: str, columns: Sequence[str], k: int = 15) -> list[tuple[str, float]]:
+    """(feature, information) of the k most informative columns; ties go to the first name."""
+    texts = [c for c in columns if c in text_columns(df)]
+    numbers = [c for c in columns if c not in texts]
+    return [(r["feature"], r["importance"]) for r in mutual_information(df, label, texts, numbers).limit(k).collect()]
+
+
 def select_features(
     df: DataFrame, label: str, columns: Sequence[str], k: int = 15, keep: Sequence[str] = ()
 ) -> tuple[DataFrame, list[str]]:
     """(df with the k most informative columns, their names); ties go to the first name."""
-    texts = [c for c in columns if c in text_columns(df)]
-    numbers = [c for c in columns if c not in texts]
-    best = mutual_information(df, label, texts, numbers).limit(k).collect()
-    names = [r["feature"] for r in best]
+    names = [f for f, _ in strongest_features(df, label, columns, k)]
     return df.select(*keep, *names), names

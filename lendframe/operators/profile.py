@@ -124,8 +124,13 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approxi
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """(rows, duplicate_rows, percent): rows beyond the first of each set of equal rows; NULL equals NULL."""
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    """(rows, duplicate_rows, percent): rows beyond the first of each set of equal rows; NULL equals NULL.
+
+    A row is shuffled as two 64-bit hashes of its values and of which of them are NULL, whatever its width.
+    """
+    parts = [p for c in df.columns for p in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    hashes = [F.xxhash64(F.lit(seed), *parts).alias(f"_h{seed}") for seed in (1, 2)]
+    groups = df.select(*hashes).groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
     total = F.coalesce(F.sum("_n"), F.lit(0))
     repeats = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))
     return groups.agg(total.alias("rows"), repeats.alias("duplicate_rows")).withColumn(

@@ -411,8 +411,7 @@ def vocabulary(spark, sf_dir):
 )
 def label_encode(spark, sf_dir):
     rows = stored(spark, sf_dir)
-    labels = encode.fitted_labels(encode.vocabulary(rows, CATEGORICAL))
-    coded = encode.label_encode(rows, labels, CATEGORICAL)
+    coded = encode.code_by_table(rows, materialise(encode.vocabulary(rows, CATEGORICAL), "vocabulary"), CATEGORICAL)
     return coded.select("loan_id", *[f"{c}_code" for c in CATEGORICAL])
 
 

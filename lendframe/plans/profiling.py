@@ -547,13 +547,14 @@ def mutual_information_numeric(spark, sf_dir):
 def select_top_features(spark, sf_dir):
     """The three most informative columns, with their strength and the values the projection holds."""
     rows = _labelled(spark, sf_dir)
-    chosen, names = features.select_features(rows, "label", [*CATEGORICAL, *NUMERIC], 3, keep=["loan_id"])
-    held = profile.per_column(chosen, names, {"non_null": F.count}).withColumnRenamed("column", "feature")
-    texts, numbers = [c for c in names if c in CATEGORICAL], [c for c in names if c in NUMERIC]
-    strength = features.mutual_information(rows, "label", texts, numbers)
+    best = features.strongest_features(rows, "label", [*CATEGORICAL, *NUMERIC], 3)
+    chosen = rows.select("loan_id", *[f for f, _ in best])
+    held = profile.per_column(chosen, [f for f, _ in best], {"non_null": F.count}).withColumnRenamed("column", "feature")
+    strength = spark.createDataFrame(best, "feature string, importance double")
     return _rounded(held.join(F.broadcast(strength), "feature"), ["importance"], 9)
 
 
+
 _DRIFT_TEXT = ["grade", "home_ownership", "purpose", "emp_length"]
 _DRIFT_NUMBERS = ["int_rate", "dti", "annual_inc", "revol_util"]
 _OLD, _NEW = "year(issue_d) < 1998", "year(issue_d) >= 1998"

@@ -138,3 +138,18 @@ def test_plan_has_no_python_and_filters_reach_the_scan(spark, raw, tmp_path):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "GreaterThan(annual_inc,0.0)" in plan
     assert "address" not in plan.split("ReadSchema")[1]
+
+
+@pytest.mark.parametrize("limit", [2, 1000])
+def test_codes_from_a_vocabulary_table_of_any_size(spark, limit):
+    from lendframe.operators import encode
+
+    known = spark.createDataFrame([("b", 3), ("a", 1), ("c", 3), (None, 2)], "x string, y int")
+    rows = spark.createDataFrame([("a", 3, 0), ("z", None, 1), (None, 1, 2), ("c", 9, 3)] * 2, "x string, y int, x_n int")
+    vocab = encode.vocabulary(known, ["x", "y"])
+    got = encode.code_by_table(rows, vocab, ["x", "y"], limit=limit)
+    assert got.columns == ["x", "y", "x_n", "x_code", "y_code"]
+    want = {0: (0, 2), 1: (3, 3), 2: (3, 0), 3: (2, 3)}
+    assert sorted((r["x_n"], r["x_code"], r["y_code"]) for r in got.collect()) == sorted([(k, *v) for k, v in want.items()] * 2)
+    same = encode.label_encode(rows, encode.fitted_labels(vocab), ["x", "y"])
+    assert got.exceptAll(same).isEmpty() and same.exceptAll(got).isEmpty()

@@ -62,6 +62,10 @@ def test_empty_table_is_one_error_and_divides_nothing(raw):
 def test_duplicates_count_equal_nulls(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, "a"), (1, None)], "a int, b string")
     assert tuple(profile.duplicate_rows(df).first()) == (4, 2, 50.0)
+    # The same values in other columns are other rows.
+    turned = spark.createDataFrame([(1, None), (None, 1), (1, None), (0, 1)], "a int, b int")
+    assert tuple(profile.duplicate_rows(turned).first()) == (4, 1, 25.0)
+    assert tuple(profile.duplicate_rows(turned.limit(0)).first()) == (0, 0, None)
 
 
 def test_summary_matches_pandas(raw):
