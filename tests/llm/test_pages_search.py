@@ -88,6 +88,121 @@ def test_slot_comes_from_the_host(spark):
     assert text[9] == "tiny" and text[3].startswith("words here")
 
 
+def site_pages(n, notice, spot="<p>{}</p>", host="h.example", extra=lambda i: ""):
+    """Pages of one host: articles of their own, with `notice` inside the main container where it is not None."""
+    out = []
+    for i in range(n):
+        paragraphs = [f"<p>Text {i} {j} of its own, told in some more words than the notice has.</p>" for j in range(2 + i % 4)]
+        said = spot.format(notice(i)) if notice(i) else ""
+        body = f"<div class='x'><h1>Head {i}</h1>{said}{''.join(paragraphs)}{extra(i)}</div>"
+        out.append((i, f"http://{host}/{i}", page(f"<div class='top'>Site name</div>{body}<div class='low'>End words</div>")))
+    return out
+
+
+def extracted(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    return {r.page_id: r.text for r in html_template.extract(pages).collect()}
+
+
+def written(i, *more):
+    return "\n\n".join(
+        [f"Head {i}", *(f"Text {i} {j} of its own, told in some more words than the notice has." for j in range(2 + i % 4)), *more]
+    )
+
+
+@pytest.mark.parametrize("spot", ["<p>{}</p>", "<div class='q'><p>{}</p></div>", "<ul><li>{}</li></ul>"])
+def test_a_notice_repeated_inside_the_main_slot_goes(spark, spot):
+    got = extracted(spark, site_pages(30, lambda i: "Prices may change at any time.", spot))
+    assert got == {i: written(i) for i in range(30)}
+
+
+def test_a_notice_in_an_element_of_its_own_on_most_pages_goes(spark):
+    got = extracted(spark, site_pages(30, lambda i: "Prices may change." if i % 5 else None, "<section><p>{}</p></section>"))
+    assert got == {i: written(i) for i in range(30)}
+
+
+def test_text_that_repeats_on_a_few_pages_or_without_order_stays(spark):
+    shared = "A passage that some articles of the host quote."
+    rows = site_pages(30, lambda i: None, extra=lambda i: f"<p>{shared}</p>" if i in (4, 9) else "")
+    assert extracted(spark, rows) == {i: written(i, *[shared] * (i in (4, 9))) for i in range(30)}
+    # On nine pages in all there is too little to tell a template from chance.
+    rows = site_pages(9, lambda i: "Prices may change.")
+    assert all("Prices may change." in t for t in extracted(spark, rows).values())
+
+
+def test_families_of_copies_stay_whole(spark):
+    """Pages that differ only in a date share all of their article: it is no template."""
+    article = "".join(f"<p>Sentence {j} of the article that all copies hold.</p>" for j in range(5))
+    rows = [(i, f"http://h.example/{i}", page(f"<div class='x'><h1>Day {i}</h1>{article}</div>")) for i in range(20)]
+    for i, text in extracted(spark, rows).items():
+        assert text.split("\n\n") == [f"Day {i}", *(f"Sentence {j} of the article that all copies hold." for j in range(5))]
+    rows = [(i, "http://h.example/", rows[0][2]) for i in range(40)]
+    assert all(len(t.split("\n\n")) == 6 for t in extracted(spark, rows).values())
+
+
+def brute_template(htmls):
+    """Text tokens of the template of one host, from all occurrence vectors, orders and gaps in plain Python."""
+    distinct = sorted(set(htmls))
+    found = [html_template.tokens_of(h) for h in distinct]
+    vectors = {}
+    for t in {t for f in found for t in f}:
+        vectors[t] = tuple(f[t].n if t in f else 0 for f in found)
+    support = {t: sum(map(bool, v)) for t, v in vectors.items()}
+    alike = {}
+    for t, v in vectors.items():
+        if support[t] >= html_template.SUPPORT and 2 * support[t] > len(distinct):
+            alike.setdefault(v, set()).add(t)
+    is_tag = {t: x.tag for f in found for t, x in f.items()}
+    alike = {v: c for v, c in alike.items() if len(c) > 1 and any(is_tag[t] for t in c)}
+    known = set().union(*alike.values()) if alike else set()
+    kept = set()
+    for members in alike.values():
+        before, gaps = {}, set()
+        for f in found:
+            if not members <= set(f):
+                continue
+            ordered = sorted(members, key=lambda t: f[t].first)
+            for a, b in zip([None, *ordered], ordered):
+                in_order = a is None or f[b].last > f[a].last
+                before.setdefault(b, set()).add(a if in_order else "not in order")
+            for t in members:
+                higher = [u for u in known if u in f and f[u].first < f[t].first and support[u] > support[t]]
+                gaps.add(max(higher, key=lambda u: f[u].first, default=None))
+        if len(gaps) == 1:
+            kept |= {t for t in members if not is_tag[t] and len(before[t]) == 1 and before[t] != {"not in order"}}
+    return kept
+
+
+def test_template_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+
+    def body(i):
+        parts = [f"<h1>Head {i}</h1>", *(f"<p>Own words {i} {j}, long enough to be the most of the page.</p>" for j in range(rng.integers(2, 6)))]
+        for k in range(6):
+            if rng.random() < (1.0, 0.9, 0.7, 0.4, 1.0, 0.8)[k]:
+                parts.insert(rng.integers(1, len(parts)) if k > 3 else min(k + 1, len(parts)), f"<div class='k{'abcdef'[k]}'><p>Told by all {k}</p></div>")
+        return page(f"<div class='x'>{''.join(parts)}</div><div class='low'><span>End</span></div>")
+
+    rows = [(i, f"http://{host}/", body(i)) for host, n in (("a", 25), ("b", 12), ("c", 5)) for i in range(n)]
+    rows += rows[:7]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.host: set(r.texts or ()) for r in html_template.templates(pages).collect()}
+    want = {h: brute_template([x for _, u, x in rows if u == f"http://{h}/"]) for h in "abc"}
+    assert got == want and want["a"] and not want["c"]
+
+
+def test_deep_and_long_pages_take_linear_time():
+    import time
+
+    start = time.time()
+    deep = page("<div>" * 20_000 + "<p>Deep text.</p>" + "</div>" * 20_000)
+    assert html_template.text_of(deep, None) == "Deep text."
+    named = page("<div class='social'>x" * 10_000 + "<p>Deep text.</p>" + "</div>" * 10_000)
+    assert html_template.text_of(named, None) == ""  # below names of the lexicon only
+    assert html_template.text_of(page("<article>" + "<p>word</p>" * 50_000 + "</article>"), None).count("word") == 50_000
+    assert time.time() - start < 30
+
+
 def test_pages_query_against_the_written_articles(spark, sf_dir):
     import html as entities
     import re
