@@ -132,6 +132,65 @@ def test_passages_in_shuffled_blocks(spark, length):
     assert got == brute_passages(docs, length)
 
 
+def test_parts_name_a_copy_to_keep_of_every_stretch(spark):
+    """First documents change within a passage: every shared window is left in one document at least."""
+    length = 8
+    r = random.Random(3)
+    blocks = [[f"{k}.{j}" for j in range(r.randint(length, 30))] for k in range(9)]
+    docs = [(i, " ".join(w for _ in range(3) for w in r.choice(blocks))) for i in range(25)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    first = {}
+    for i, text in docs:
+        words = words_of(text)
+        for j in range(len(words) - length + 1):
+            first.setdefault(tuple(words[j : j + length]), i)
+    rows = suffix_dedup.passages(frame, length).collect()
+    texts = {i: words_of(t) for i, t in docs}
+    cut = False
+    for x in rows:
+        assert (x.parts[0].start_word, x.parts[-1].end_word) == (x.start_word, x.end_word)
+        assert all(a.end_word == b.start_word for a, b in zip(x.parts, x.parts[1:]))
+        assert min(p.first_doc_id for p in x.parts) == x.first_doc_id
+        cut = cut or len(x.parts) > 1
+        for p in x.parts:
+            around = range(max(0, p.start_word - length + 1), min(p.end_word, len(texts[x.doc_id]) - length + 1))
+            holders = {first[tuple(texts[x.doc_id][j : j + length])] for j in around}
+            assert p.first_doc_id in holders
+    assert cut
+
+
+@pytest.mark.parametrize("rows_a_batch", [1, 2, 7, 1000])
+def test_neighbours_in_batches_and_across_borders(rows_a_batch):
+    import pandas as pd
+
+    r = random.Random(rows_a_batch)
+    rows = []
+    for prefix in range(40):
+        for stretch in range(r.choice([1, 1, 2, 5, 20])):
+            lo = r.choice([prefix, prefix, r.randrange(50)])
+            rows.append((prefix, stretch, lo, r.choice([lo, lo, lo + 1]), 0))
+    frame = pd.DataFrame(rows, columns=["prefix", "stretch", "lo", "hi", "at"])
+    cuts = sorted({0, len(rows), *(r.randrange(len(rows)) for _ in range(6))})
+    out = []
+    for a, b in zip(cuts, cuts[1:]):
+        part = frame.iloc[a:b]
+        batches = (part.iloc[i : i + rows_a_batch] for i in range(0, len(part), rows_a_batch))
+        out += list(suffix_dedup._neighbours(batches))
+    found = pd.concat(out)
+    edges = found[found.kind == suffix_dedup.BORDER].groupby("prefix").agg({"lo": "min", "hi": "max", "n": "sum"})
+    assert len(found[found.kind == suffix_dedup.BORDER]) <= 2 * (len(cuts) - 1)
+    got = {}
+    for x in found.itertuples():
+        edge = edges.loc[x.prefix] if x.prefix in edges.index else None
+        if x.kind == suffix_dedup.ALIKE:
+            got[x.prefix, x.stretch] = x.n > 1
+        elif x.kind == suffix_dedup.UNSURE and edge.lo != edge.hi:
+            got[x.prefix, x.stretch] = edge.n > 1
+    runs = frame.groupby("prefix").agg({"lo": "min", "hi": "max", "stretch": "size"})
+    want = {(p, q): bool(runs.loc[p].stretch > 1) for p, q, *_ in rows if runs.loc[p].lo != runs.loc[p].hi}
+    assert got == want
+
+
 def test_odd_rows_of_passages(spark):
     long = " ".join(f"w{i}" for i in range(60))
     docs = [(1, long), (1, long), (2, None), (3, ""), (None, long), (4, "short text"), (5, "same " * 200)]
