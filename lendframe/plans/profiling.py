@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lendframe.functions import cleaning
 from lendframe.functions.records import fingerprint
-from lendframe.operators import drift, encode, features, profile, quality
+from lendframe.operators import drift, encode, features, neighbours, profile, quality
 from lendframe.operators.ranking import approx_quantiles, exact_quantiles
 from lendframe.plans.catalog import ETL_PARTS, PREPARED_PARTS, query
 from lendframe.plans.loans import loans
@@ -536,6 +536,62 @@ def mutual_information_numeric(spark, sf_dir):
     return _rounded(found, ["importance"], 9)
 
 
+def _digamma_sql(x: str) -> str:
+    y = f"({x} + 1e1)"
+    shifted = " - ".join(f"1e0 / ({x} + {i}e0)" for i in range(10))
+    return (
+        f"(ln({y}) - 5e-1 / {y} - 1e0 / 12 / pow({y}, 2) + 1e0 / 120 / pow({y}, 4) - 1e0 / 252 / pow({y}, 6) "
+        f"+ 1e0 / 240 / pow({y}, 8) - {shifted})"
+    )
+
+
+_CLOSEST = 3
+_AHEAD = [f"lead(value, {i}) OVER w" for i in range(1, _CLOSEST + 1)]
+_BEHIND = [f"lag(value, {i}) OVER w" for i in range(1, _CLOSEST + 1)]
+_SPANS = ", ".join(
+    f"greatest(coalesce(value - b{i}, {'0' if i == 0 else 'NULL'}), coalesce(a{_CLOSEST - i} - value, "
+    f"{'0' if i == _CLOSEST else 'NULL'}), CASE WHEN b{i} IS NULL OR a{_CLOSEST - i} IS NULL THEN 'infinity'::DOUBLE END)"
+    for i in range(_CLOSEST + 1)
+)
+# Every row apart: the k-th neighbour is the nearest end of the k + 1 windows of k rows around it.
+_NEIGHBOUR_SQL = (
+    "WITH points AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {_LABEL_SQL} AS label, coalesce({c}, 0) AS value FROM prepared WHERE loan_status <> 'Current'"
+        for c in NUMERIC
+    )
+    + "), around AS (SELECT *, value AS a0, value AS b0, "
+    + ", ".join(f"{e} AS a{i}" for i, e in enumerate(_AHEAD, 1))
+    + ", "
+    + ", ".join(f"{e} AS b{i}" for i, e in enumerate(_BEHIND, 1))
+    + ", count(*) OVER (PARTITION BY feature, label) AS size FROM points WINDOW w AS (PARTITION BY feature, label ORDER BY value)), "
+    f"far AS (SELECT *, least({_SPANS}) AS d FROM around), "
+    "ends AS (SELECT feature, label, value, size, d, "
+    + "coalesce(greatest("
+    + ", ".join(f"CASE WHEN d > 0 AND value - b{i} = d THEN b{i} END" for i in range(1, _CLOSEST + 1))
+    + "), value - d) AS low, coalesce(least("
+    + ", ".join(f"CASE WHEN d > 0 AND a{i} - value = d THEN a{i} END" for i in range(1, _CLOSEST + 1))
+    + "), value + d) AS high FROM far), "
+    "sums AS (SELECT feature, value, n, sum(n) OVER (PARTITION BY feature ORDER BY value) AS upto "
+    "FROM (SELECT feature, value, count(*) AS n FROM points GROUP BY ALL)), "
+    "twins AS (SELECT feature, label, value, count(*) AS own FROM points GROUP BY ALL), "
+    "counted AS (SELECT e.feature, e.size, CAST(CASE WHEN d = 0 THEN s.n ELSE h.upto - coalesce(l.upto, 0) END AS DOUBLE) AS m, "
+    f"CAST(CASE WHEN d = 0 THEN t.own ELSE {_CLOSEST} END AS DOUBLE) AS k "
+    "FROM ends e JOIN sums s USING (feature, value) JOIN twins t USING (feature, label, value) "
+    "ASOF LEFT JOIN sums h ON e.feature = h.feature AND e.high > h.value "
+    "ASOF LEFT JOIN sums l ON e.feature = l.feature AND e.low >= l.value) "
+    f"SELECT feature, round(greatest(0, {_digamma_sql('CAST(count(*) AS DOUBLE)')} + avg({_digamma_sql('k')} - {_digamma_sql('m')} "
+    f"- {_digamma_sql('CAST(size AS DOUBLE)')})), 8) AS importance FROM counted GROUP BY feature"
+)
+
+
+@query("neighbour_information", _NEIGHBOUR_SQL, PREPARED_PARTS)
+def neighbour_information(spark, sf_dir):
+    """Information by the third neighbour of the same class, over all labelled loans."""
+    found = neighbours.neighbour_information(_labelled(spark, sf_dir), "label", NUMERIC, _CLOSEST)
+    return _rounded(found, ["importance"], 8)
+
+
 @query(
     "select_top_features",
     _information_sql(f"{_TEXT_CELLS} UNION ALL {_NUMBER_CELLS}").replace(
