@@ -1,12 +1,14 @@
 """Quality checks that return issue rows, and the verdict over them.
 
 Issue rows share one layout: (check, column, severity, observed, limit). Severity is "error" or
-"warning"; a check that passes yields no row.
+"warning"; a check that passes yields no row. `write_checked` takes the facts from the pass that writes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,7 +71,13 @@ class Facts:
     def rows(self) -> DataFrame:
         if not self.entries:
             return self.df.sparkSession.createDataFrame([], ISSUE)
-        measured = self.df.agg(*[m.alias(n) for n, m in self.measures.items()])
+        return self.found_in(self.df.agg(*self.aggregates()))
+
+    def aggregates(self) -> list[Column]:
+        return [m.alias(n) for n, m in self.measures.items()]
+
+    def found_in(self, measured: DataFrame) -> DataFrame:
+        """Issue rows from one row of all measures."""
         found = measured.select(F.explode(F.array(*self.entries)).alias("r")).select("r.*")
         return found.filter("severity IS NOT NULL")
 
@@ -216,6 +224,51 @@ def issues(
     return out
 
 
+@dataclass(frozen=True)
+class CheckedWrite:
+    """What a checked write found: the written table, issue rows, and each value outside an allowed set."""
+
+    table: DataFrame
+    issues: DataFrame
+    offenders: DataFrame
+
+
+def write_checked(
+    df: DataFrame, path: str, rules: RuleSet = LOAN_RULES, checks: tuple[str, ...] = CHECKS, mode: str = "errorifexists"
+) -> CheckedWrite:
+    """Write `df` as Parquet and check it in the same pass; issues are those of `issues`.
+
+    Row, NULL and range counts and the number of values outside allowed sets are observed while the rows
+    pass to the files, in the stage that writes, whose tasks count once however often they are tried. `df` is computed
+    once. Afterwards only what needs grouping reads the written columns: the columns that hold
+    offenders, repeated rows, and the target.
+    """
+    spark = df.sparkSession
+    facts = Facts(df)
+    _empty_facts(facts)
+    for check, add in (("schema", _schema_facts), ("nulls", _null_facts), ("ranges", _range_facts)):
+        if check in checks:
+            add(facts, rules)
+    limited = [c for c in rules.allowed if c in df.columns] if "categories" in checks else []
+    for c in limited:
+        facts.measure(f"outside {c}", F.count_if(~F.col(f"`{c}`").cast("string").isin(list(rules.allowed[c]))))
+    watch = Observation()
+    df.observe(watch, *facts.aggregates()).write.mode(mode).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    seen = watch.get
+    # A plan that Spark proves empty passes no row to observe.
+    seen = {name: seen.get(name) or 0 for name in facts.measures}
+    measured = spark.createDataFrame([tuple(seen.values())], ", ".join(f"`{n}` bigint" for n in seen))
+    found = facts.found_in(measured)
+    offending = [c for c in limited if seen[f"outside {c}"]]
+    offenders = unexpected_values(table.select(*offending), rules)
+    if offending:
+        found = found.unionByName(check_categories(table.select(*offending), rules))
+    if "statistics" in checks:
+        found = found.unionByName(check_duplicates(table, rules)).unionByName(check_imbalance(table, rules))
+    return CheckedWrite(table, found, offenders)
+
+
 def verdict(found: DataFrame, strict: bool = False) -> DataFrame:
     """(is_valid, errors, warnings): valid without errors, and without warnings too when strict."""
     ok = F.col("errors") == 0

@@ -15,6 +15,7 @@ from lendframe.plans.catalog import ETL_PARTS, PREPARED_PARTS, query
 from lendframe.plans.loans import loans
 from lendframe.plans.preparation import etl_loans, stored
 from lendframe.schema import CATEGORICAL, LOAN_RULES, LOAN_SCHEMA, NUMERIC, RAW_COLUMNS
+from lendframe.session import work_path
 
 _RAW_NUMBERS = [f.name for f in LOAN_SCHEMA if f.dataType.typeName() == "double"]
 _RAW_TEXTS = [f.name for f in LOAN_SCHEMA if f.dataType.typeName() == "string"]
@@ -495,6 +496,28 @@ def validation_report(spark, sf_dir):
     return quality.validate(loans(spark, sf_dir))[1]
 
 
+_CHECKED_SQL = (
+    f"SELECT \"check\", \"column\", severity, observed, \"limit\", CAST(NULL AS VARCHAR) AS value FROM ({_ISSUES_SQL}) i "
+    f"UNION ALL SELECT 'category_value', \"column\", 'warning', CAST(n AS DOUBLE), 0e0, value FROM ({_OFFENDERS_SQL}) o"
+)
+
+
+@query("checked_write", _CHECKED_SQL)
+def checked_write(spark, sf_dir):
+    """Issues found by the pass that writes the loans, and a row per value outside an allowed set."""
+    done = quality.write_checked(loans(spark, sf_dir), work_path(spark, "checked"))
+    listed = done.offenders.select(
+        F.lit("category_value").alias("check"),
+        "column",
+        F.lit("warning").alias("severity"),
+        F.col("n").cast("double").alias("observed"),
+        F.lit(0.0).alias("limit"),
+        "value",
+    )
+    found = done.issues.withColumn("value", F.lit(None).cast("string"))
+    return _rounded(found.unionByName(listed), ["observed"])
+
+
 # Selection and drift
 
 
