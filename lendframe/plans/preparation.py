@@ -252,6 +252,17 @@ def split_membership(spark, sf_dir):
     )
 
 
+@query(
+    "exact_split",
+    "SELECT loan_id, loan_status, CASE WHEN place <= (40 * size + 100) // 200 THEN 'test' ELSE 'train' END AS split FROM ("
+    f"SELECT loan_id, loan_status, row_number() OVER (PARTITION BY loan_status ORDER BY {HASH_SQL}, CAST(loan_id AS VARCHAR)) "
+    "AS place, count(*) OVER (PARTITION BY loan_status) AS size FROM loans) x",
+)
+def exact_split(spark, sf_dir):
+    """Every loan with its side of a split that holds a fifth of each status to the row."""
+    return split.exact_split(loans(spark, sf_dir, ["loan_id", "loan_status"]), "loan_status")
+
+
 # Cleaning rules, one per query
 
 
