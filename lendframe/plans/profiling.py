@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from lendframe.functions import cleaning
 from lendframe.functions.records import fingerprint
-from lendframe.operators import drift, encode, features, neighbours, profile, quality
+from lendframe.operators import drift, encode, features, neighbours, profile, quality, sketches
 from lendframe.operators.ranking import approx_quantiles, exact_quantiles
 from lendframe.plans.catalog import ETL_PARTS, PREPARED_PARTS, query
 from lendframe.plans.loans import loans
 from lendframe.plans.preparation import etl_loans, stored
 from lendframe.schema import CATEGORICAL, LOAN_RULES, LOAN_SCHEMA, NUMERIC, RAW_COLUMNS
-from lendframe.session import work_path
+from lendframe.session import local_copy, materialise, work_path
 
 _RAW_NUMBERS = [f.name for f in LOAN_SCHEMA if f.dataType.typeName() == "double"]
 _RAW_TEXTS = [f.name for f in LOAN_SCHEMA if f.dataType.typeName() == "string"]
@@ -389,6 +389,70 @@ def table_fingerprint(spark, sf_dir):
     return fingerprint(loans(spark, sf_dir))
 
 
+_SKETCHED_NUMBERS, _SKETCHED_TEXTS = ["annual_inc", "dti", "revol_util", "mort_acc"], ["purpose", "earliest_cr_line"]
+_SKETCH_PROBABILITIES = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+@query(
+    "sketch_merge",
+    " UNION ALL ".join(
+        f"SELECT grade, '{c}' AS \"column\", count(*) AS \"rows\", count({c}) AS filled, TRUE AS quantiles_within, "
+        "TRUE AS distinct_within FROM loans GROUP BY grade"
+        for c in [*_SKETCHED_NUMBERS, *_SKETCHED_TEXTS]
+    ),
+)
+def sketch_merge(spark, sf_dir):
+    """Sketches per month and grade, stored, merged without the rows, and held against the rows.
+
+    Within: every quantile splits the values at its probability up to 1 %, the distinct count is
+    off by 6.5 % at most (four standard errors).
+    """
+    columns = [*_SKETCHED_NUMBERS, *_SKETCHED_TEXTS]
+    rows = loans(spark, sf_dir, ["issue_d", "grade", *columns])
+    path = work_path(spark, "sketches")
+    by_month = sketches.sketched(rows, F.trunc("issue_d", "month"), _SKETCHED_NUMBERS, _SKETCHED_TEXTS, ["grade"])
+    sketches.store(by_month, path)
+    merged = sketches.merged(sketches.stored(spark, path), ["grade"])
+    found = materialise(sketches.estimates(merged, _SKETCH_PROBABILITIES), "estimates")
+
+    long = rows.select(
+        "grade",
+        F.explode(
+            F.array(
+                *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"), F.col(c).cast("string").alias("t")) for c in _SKETCHED_NUMBERS],
+                *[F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("x"), F.col(c).alias("t")) for c in _SKETCHED_TEXTS],
+            )
+        ).alias("v"),
+    ).select("grade", "v.*")
+    # Rows of the sketch table: grades times columns.
+    known = local_copy(found.select("grade", "column", "values"))
+    ranked = long.groupBy("grade", "column", "x", "t").agg(F.count(F.lit(1)).alias("n")).join(
+        F.broadcast(known) if known is not None else found.select("grade", "column", "values"), ["grade", "column"]
+    )
+    below, upto = [], []
+    for i in range(len(_SKETCH_PROBABILITIES)):
+        below.append(F.coalesce(F.sum(F.when(F.col("x") < F.col("values")[i], F.col("n"))), F.lit(0)))
+        upto.append(F.coalesce(F.sum(F.when(F.col("x") <= F.col("values")[i], F.col("n"))), F.lit(0)))
+    exact = ranked.groupBy("grade", "column").agg(
+        F.count("t").alias("_distinct"), F.array(*below).alias("_below"), F.array(*upto).alias("_upto")
+    )
+    joined = found.join(exact, ["grade", "column"])
+    fits = [
+        (F.col("_below")[i] <= (p + 0.01) * F.col("filled")) & (F.col("_upto")[i] >= (p - 0.01) * F.col("filled"))
+        for i, p in enumerate(_SKETCH_PROBABILITIES)
+    ]
+    held = F.forall(F.array(*fits), lambda fit: fit)
+    distinct = F.abs(F.col("n_distinct") - F.col("_distinct")) <= 0.065 * F.col("_distinct")
+    return joined.select(
+        "grade",
+        "column",
+        "rows",
+        "filled",
+        (F.col("values").isNull() | held).alias("quantiles_within"),
+        distinct.alias("distinct_within"),
+    )
+
+
 # Validation
 
 _REQUIRED = list(LOAN_RULES.required)
