@@ -1,10 +1,11 @@
 """Exact inner-product search.
 
-Method: ball-tree branch and bound per shard. A shard is one Arrow batch of vectors, so vectors are never
-shuffled. Its tree is searched for a whole block of queries at once: a node is entered only by queries
-whose inner-product upper bound q.c + |q| r reaches their current k-th score, the child with the higher
-bound first. The k-th scores carry over from node to node and from shard to shard of a task, and start
-from a search of a first shard that every task is told of.
+Method: ball-tree branch and bound per shard. Vectors are packed into shards, and shards dealt to groups of
+bounded size. A task builds the trees of its group once and lets all blocks of queries pass by, one block in
+memory at a time; blocks travel by the shuffle, never by the driver. A tree is searched for a whole block at
+once: a node is entered only by queries whose inner-product upper bound q.c + |q| r reaches their current k-th
+score, the child with the higher bound first. The k-th scores carry over from node to node and from shard to
+shard of a group, and start from a search of a first shard of `FIRST_SHARD` rows.
 
 Components become floor(256 * x). Vectors that are null, or hold null or non-finite components, take no
 part; neither do rows without an id. A query meets candidates of its own length only. Repeated rows of a
@@ -21,13 +22,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendframe.llm.common import arrow_batches
+from lendframe.llm.common import arrow_batches, batch_rows
 from lendframe.session import materialise
 
 LEAF = 48
 SHARD_ROWS = 4_096
 FIRST_SHARD = 1_024  # rows of the shard whose k-th scores start every task
+GROUP_ROWS = 131_072  # vectors whose trees a task holds, about
 QUERY_BLOCK = 2_048
+PACKED_ROWS = 8  # packed shards or blocks a task is handed at a time
 SCALE = 256
 _EXACT = float(1 << 52)
 
@@ -60,6 +63,16 @@ class Ball:
         return value + np.abs(value) * 1e-9 + norms * 1e-6 + 1e-6
 
 
+class Shard:
+    """Vectors of one length and their tree."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors = ids, vectors
+        self.points = vectors.astype(float)
+        self.largest = float(np.abs(self.points).max(initial=0))
+        self.tree = Ball(self.points, np.arange(len(ids)))
+
+
 class Best:
     """The k best (score, id) so far of each query of a block; equal scores go to the smaller id."""
 
@@ -72,12 +85,11 @@ class Best:
         self.scores = np.full((len(ids), 0), 0, np.int64)
         self.found: list[list[tuple[int, int]]] = [[] for _ in ids]
 
-    def search(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        points = vectors.astype(float)
-        largest = float(np.abs(points).max(initial=0)) * float(np.abs(self.queries).max(initial=0))
+    def search(self, shard: Shard) -> None:
+        largest = shard.largest * float(np.abs(self.queries).max(initial=0))
         # Sums below 2**52 are exact as doubles; beyond that the products are taken as integers.
-        self.product = points if largest * points.shape[1] < _EXACT else vectors
-        self._visit(Ball(points, np.arange(len(ids))), np.arange(len(self.ids)), ids)
+        self.product = shard.points if largest * shard.points.shape[1] < _EXACT else shard.vectors
+        self._visit(shard.tree, np.arange(len(self.ids)), shard.ids)
 
     def _visit(self, ball: Ball, active: np.ndarray, ids: np.ndarray) -> None:
         active = active[ball.bound(self.queries[active], self.norms[active]) >= self.floor[active]]
@@ -110,21 +122,69 @@ class Best:
                 yield q, v, -s
 
 
-def _search(vectors: DataFrame, sent, k: int) -> DataFrame:
-    """query_id, vec_id, score of the k best of every task for the block of queries in `sent`."""
+_PACKED = "length int, n int, ids binary, vectors binary, floors binary"
+
+
+def _packed(rows: DataFrame, most: int, first: list[Shard] | None = None, k: int = 0) -> DataFrame:
+    """Rows (vec_id, _v) as blocks of up to `most` vectors of one length; `floors` hold k-th scores within `first`."""
+    first = first or []
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = {d: Best(*block, k) for d, block in sent.value.items()}
         for batch in batches:
-            lengths = batch["_v"].map(len)
-            for d in best:
-                part = batch[lengths == d]
-                if d and len(part):
-                    best[d].search(part["vec_id"].to_numpy(np.int64), np.stack(part["_v"].to_numpy()).astype(np.int64))
-        rows = [r for b in best.values() for r in b.rows()]
-        yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
+            blocks = []
+            for length, part in batch.groupby(batch["_v"].map(len)):
+                for at in range(0, len(part) if length else 0, most):
+                    ids = part["vec_id"].to_numpy(np.int64)[at : at + most]
+                    vectors = np.stack(part["_v"].to_numpy()[at : at + most]).astype(np.int64)
+                    best = Best(ids, vectors, np.full(len(ids), -np.inf), k)
+                    for shard in first:
+                        if shard.points.shape[1] == length:
+                            best.search(shard)
+                    blocks.append((length, len(ids), ids.tobytes(), vectors.tobytes(), best.floor.tobytes()))
+            yield pd.DataFrame(blocks, columns=["length", "n", "ids", "vectors", "floors"])
+
+    return rows.mapInPandas(run, _PACKED)
+
 
-    return vectors.mapInPandas(run, "query_id long, vec_id long, score long")
+def _unpacked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    vectors = np.frombuffer(row.vectors, np.int64).reshape(row.n, row.length)
+    return np.frombuffer(row.ids, np.int64), vectors, np.frombuffer(row.floors)
+
+
+def _trees(held: dict[int, list], most: int) -> dict[int, list[Shard]]:
+    """Shards of up to `most` vectors from the packed ones of a group, by length."""
+    found: dict[int, list[Shard]] = {}
+    for length, parts in held.items():
+        ids, vectors = (np.concatenate(x) for x in list(zip(*parts))[:2])
+        found[length] = [Shard(ids[at : at + most], vectors[at : at + most]) for at in range(0, len(ids), most)]
+    return found
+
+
+def _search(shards: DataFrame, blocks: DataFrame, groups: int, k: int, most: int) -> DataFrame:
+    """query_id, vec_id, score of the k best of every query in every group of shards."""
+    dealt = shards.select(F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int").alias("group"), F.lit(0).alias("asks"), "*")
+    asked = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), F.lit(1).alias("asks"), "*")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, held, trees = None, {}, None
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                if row.group != group:
+                    group, held, trees = row.group, {}, None
+                if not row.asks:
+                    held.setdefault(row.length, []).append(_unpacked(row))
+                    continue
+                if trees is None:
+                    trees, held = _trees(held, most), {}
+                best = Best(*_unpacked(row), k)
+                for shard in trees.get(row.length, []):
+                    best.search(shard)
+                found = list(best.rows())
+                if found:
+                    yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+
+    together = dealt.unionByName(asked).repartition(groups, "group").sortWithinPartitions("group", "asks")
+    return together.mapInPandas(run, "query_id long, vec_id long, score long")
 
 
 def _kept(found: DataFrame, k: int) -> DataFrame:
@@ -142,30 +202,19 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, vector: str = "emb
 
     rows = usable(vectors)
     asked = usable(queries).groupBy("vec_id").agg(F.min("_v").alias("_v"))
-    asked = materialise(asked.withColumn("_order", F.xxhash64("vec_id")), "queries")
-    blocks = max(1, math.ceil(asked.count() / QUERY_BLOCK))
-    first = rows.limit(FIRST_SHARD).collect()
-    parts = []
-    for block in range(blocks):
-        # A block holds about QUERY_BLOCK queries; blocks follow one another, never all at once.
-        got = asked.where(F.pmod(F.col("_order"), F.lit(blocks)) == block).orderBy("vec_id").collect()
-        by_length: dict[int, list] = {}
-        for r in got:
-            by_length.setdefault(len(r._v), []).append(r)
-        sent = {
-            d: (np.array([r.vec_id for r in g]), np.array([r._v for r in g], np.int64).reshape(len(g), d), np.full(len(g), -np.inf))
-            for d, g in by_length.items()
-        }
-        # k-th scores within a first shard: no task needs to look below them.
-        for d, (ids, asked_, floor) in sent.items():
-            own = [r for r in first if len(r._v) == d]
-            if d and own:
-                seed = Best(ids, asked_, floor, k)
-                seed.search(np.array([r.vec_id for r in own]), np.array([r._v for r in own], np.int64))
-                sent[d] = ids, asked_, seed.floor
-        part = _kept(_search(rows, spark.sparkContext.broadcast(sent), k), k)
-        parts.append(part if blocks == 1 else materialise(part, "topk"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    # k-th scores within a first shard: no task needs to look below them.
+    by_length: dict[int, list] = {}
+    for r in rows.limit(FIRST_SHARD).collect():
+        by_length.setdefault(len(r._v), []).append(r)
+    first = [
+        Shard(np.array([r.vec_id for r in g], np.int64), np.array([r._v for r in g], np.int64)) for d, g in by_length.items() if d
+    ]
+    shards = materialise(_packed(rows, SHARD_ROWS), "shards")
+    blocks = materialise(_packed(asked, QUERY_BLOCK, first, k), "query-blocks")
+    held = shards.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # Small tables are dealt to all cores, large ones to groups that fit a task.
+    spread = min(spark.sparkContext.defaultParallelism, math.ceil(held / SHARD_ROWS))
+    groups = max(1, spread, math.ceil(held / GROUP_ROWS))
+    with batch_rows(spark, PACKED_ROWS):
+        found = materialise(_search(shards, blocks, groups, k, SHARD_ROWS), "topk")
+    return _kept(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
