@@ -183,7 +183,7 @@ def _search(shards: DataFrame, blocks: DataFrame, groups: int, k: int, most: int
                 if found:
                     yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
-    together = dealt.unionByName(asked).repartition(groups, "group").sortWithinPartitions("group", "asks")
+    together = dealt.unionByName(asked).repartitionById(groups, "group").sortWithinPartitions("group", "asks")
     return together.mapInPandas(run, "query_id long, vec_id long, score long")
 
 
@@ -209,7 +209,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, vector: str = "emb
     first = [
         Shard(np.array([r.vec_id for r in g], np.int64), np.array([r._v for r in g], np.int64)) for d, g in by_length.items() if d
     ]
-    shards = materialise(_packed(rows, SHARD_ROWS), "shards")
+    # Packed small, so that groups get about equal shares; a tree takes up to SHARD_ROWS of its group.
+    shards = materialise(_packed(rows, max(1, SHARD_ROWS // 16)), "shards")
     blocks = materialise(_packed(asked, QUERY_BLOCK, first, k), "query-blocks")
     held = shards.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # Small tables are dealt to all cores, large ones to groups that fit a task.
