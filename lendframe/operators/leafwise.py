@@ -1,8 +1,8 @@
 """Gradient-boosted trees that grow leaf by leaf, from histograms that Spark adds up.
 
-Every row becomes one binary cell of bin numbers. A pass over the rows routes each to its leaf and adds, per open
-node, feature and bin, count, gradient and hessian; tasks hand over one histogram per node, which are
-summed per node after a shuffle. The driver holds histograms only, whose size is open nodes times bins.
+Rows become blocks of bin numbers, a row of numbers per feature. A pass over the blocks routes rows to the counted leaves and
+adds, per open node, feature and bin, count, gradient and hessian; tasks hand over one histogram per node, which are
+summed per node, after a shuffle where they are many. The driver holds histograms only, whose size is open nodes times bins.
 
 - Gradients are fixed-point numbers, so sums are exact: the same trees under any partitioning.
 - Of two children only the one with fewer rows is counted; its sibling is the parent less it.
@@ -11,31 +11,32 @@ summed per node after a shuffle. The driver holds histograms only, whose size is
   the one that splitting a single leaf at a time gives.
 - Categories are ordered by gradient over hessian and cut like numbers.
 - Leaf values are shrunk by L1 and L2; a split needs a gain, rows on both sides and room below leaf and depth limits.
-- Margins are written to the shared folder every `SNAPSHOT` trees; what lies in between is computed on the way.
+- Margins and gradients are brought up to date once per tree, in the job of its first pass, and kept on executors. Every
+  `SNAPSHOT` trees the blocks are written to the shared folder.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+import pickle
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lendframe.operators.encode import fitted_labels, vocabulary
 from lendframe.operators.ranking import number
 from lendframe.operators.split import class_weights
 from lendframe.schema import CATEGORICAL, NUMERIC
-from lendframe.session import arrow_rows, materialise
+from lendframe.session import arrow_rows, materialise, work_path
 
 # Default parameters of the two boosted profiles, by their usual names.
 LEAFWISE: dict[str, Any] = {
@@ -67,8 +68,10 @@ SEED = 42
 CATEGORY_SMOOTHING = 10.0  # hessian added when categories are ordered
 MIN_HESSIAN = 1e-3
 _UNIT = 1 << 24  # fixed-point steps per unit of gradient
-_BATCH = 1 << 16
-_TASK_ROWS = 1 << 17  # fewer rows are not worth a task of their own
+_BATCH = 1 << 16  # most rows of a block
+_LEAST_ROWS = 1 << 12  # smaller blocks are not worth the calls on them
+_TASK_ROWS = 1 << 20  # most training rows a task goes over
+_COLLECTED = 256  # beyond so many histograms of all tasks they are added up in a shuffle
 
 
 @dataclass
@@ -341,109 +344,134 @@ def _drawn(keys: np.ndarray, tree: int, share: float) -> np.ndarray:
     return (x >> np.uint64(11)).astype(float) / float(1 << 53) < share
 
 
-def _row_type(features: int) -> np.dtype:
-    """A row of the training table as one binary cell."""
-    return np.dtype(
-        [("key", "<i8"), ("label", "<f8"), ("weight", "<f8"), ("margin", "<f8"), ("held", "?"), ("bins", "<u2", (features,))]
-    )
+@dataclass
+class Block:
+    """Some rows of the training table. `bins` holds a row per feature, so a pass reads a feature in one piece.
 
+    `g` and `h` are the fixed-point gradients for the tree that is grown, `drawn` says which rows take part in it.
+    """
 
-def _rows_of(batch: pa.RecordBatch, kind: np.dtype) -> np.ndarray:
-    """The cells of an Arrow batch as one structured array over its buffer; all cells are equally long."""
-    cells = batch.column(0)
-    data = cells.buffers()[2]
-    if data is None or not len(cells):
-        return np.zeros(0, kind)
-    return np.frombuffer(data, kind, len(cells), cells.offset * kind.itemsize)
+    bins: np.ndarray
+    key: np.ndarray
+    label: np.ndarray
+    margin: np.ndarray
+    held: bool
+    g: np.ndarray | None = None
+    h: np.ndarray | None = None
+    drawn: np.ndarray | None = None
+
+    def leaves(self, tree: Tree, rows: np.ndarray, wanted: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(leaf, its rows) of every wanted leaf; subtrees without one are not entered."""
+        enter = wanted.copy()
+        for i in range(len(enter) - 1, -1, -1):  # children come after their parents
+            if tree.left[i] != i:
+                enter[i] = enter[tree.left[i]] or enter[tree.right[i]]
+        waiting = [(0, rows)] if enter[0] else []
+        while waiting:
+            i, own = waiting.pop()
+            if tree.left[i] == i:
+                yield i, own
+                continue
+            goes = tree.goes_left[i].take(self.bins[tree.feature[i]].take(own))
+            if enter[tree.left[i]]:
+                waiting.append((int(tree.left[i]), own[goes]))
+            if enter[tree.right[i]]:
+                waiting.append((int(tree.right[i]), own[~goes]))
 
 
 @dataclass
-class _Pass:
-    """One pass over the binned rows: what a task computes from them."""
+class _Step:
+    """Brings margins up to date with the tree before and states the gradients for the next one."""
 
-    layout: _Layout
-    done: list[Tree]  # finished since the margins were written
+    tree: Tree | None
     number: int
     share: float
-    routing: Tree | None = None
-    slots: np.ndarray | None = None
+    heavier: float
+
+    def __call__(self, blocks: Iterator[Block]) -> Iterator[Block]:
+        for b in blocks:
+            margin = b.margin
+            if self.tree is not None:
+                margin = margin.copy()
+                for leaf, rows in b.leaves(self.tree, np.arange(len(margin)), self.tree.left == np.arange(len(self.tree.left))):
+                    margin[rows] += self.tree.value[leaf]
+            if b.held:
+                yield replace(b, margin=margin)
+                continue
+            p = 1 / (1 + np.exp(-margin))
+            weight = np.where(b.label == 1, self.heavier, 1.0) * _UNIT
+            g, h = np.rint(weight * (p - b.label)), np.rint(weight * p * (1 - p))
+            small = np.int32 if self.heavier < 64 else np.int64
+            drawn = _drawn(b.key, self.number, self.share) if self.share < 1 else None
+            yield replace(b, margin=margin, g=g.astype(small), h=h.astype(small), drawn=drawn)
 
-    @property
-    def kind(self) -> np.dtype:
-        return _row_type(len(self.layout.widths))
 
-    def margins(self, rows: np.ndarray) -> np.ndarray:
-        margin, bins = rows["margin"].copy(), np.ascontiguousarray(rows["bins"])
-        for tree in self.done:
-            margin += tree.value.take(tree.leaves(bins))
-        return margin
+@dataclass
+class _Pass:
+    """One pass over the blocks: what a task adds up from them."""
 
-    def histograms(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    layout: _Layout
+    features: np.ndarray  # those whose bins are counted
+    heavier: float
+    routing: Tree | None = None
+    slots: np.ndarray | None = None
+
+    def __call__(self, blocks: Iterator[Block]) -> Iterator[tuple[int, np.ndarray]]:
         """slot and the task's histogram of it; slot -1 holds loss and weight of the held rows."""
-        root, kind = self.routing is None, self.kind
+        root = self.routing is None
         count = 1 if root else int(self.slots.max()) + 1
-        total = np.zeros((count, self.layout.total, 3), np.int64)
-        loss = np.zeros(2, np.int64)
-        for batch in batches:
-            rows = _rows_of(batch, kind)
-            held = rows["held"]
-            if root and held.any():
-                own = rows[held]
-                m = self.margins(own) * np.where(own["label"] > 0.5, -1.0, 1.0)
-                sums = np.array([(own["weight"] * np.logaddexp(0, m)).sum(), own["weight"].sum()])
-                loss += np.rint(sums * _UNIT).astype(np.int64)
-            use = ~held
-            if self.share < 1:
-                use &= _drawn(rows["key"], self.number, self.share)
-            rows = rows[use]
-            at = np.zeros(len(rows), np.int64)
-            if not root:
-                at = self.slots.take(self.routing.leaves(np.ascontiguousarray(rows["bins"])))
-                rows, at = rows[at >= 0], at[at >= 0]
-            p = 1 / (1 + np.exp(-self.margins(rows)))
-            weight, bins = rows["weight"] * _UNIT, rows["bins"]
-            g, h = np.rint(weight * (p - rows["label"])), np.rint(weight * p * (1 - p))
-            cells = ((at * self.layout.total)[:, None] + self.layout.offsets[None, :] + bins).ravel()
-            size, width = count * self.layout.total, bins.shape[1]
-            flat = total.reshape(-1, 3)
-            flat[:, 0] += np.bincount(cells, minlength=size)
-            # Whole numbers far below 2**53, so these sums are exact.
-            flat[:, 1] += np.bincount(cells, np.repeat(g, width), size).astype(np.int64)
-            flat[:, 2] += np.bincount(cells, np.repeat(h, width), size).astype(np.int64)
-        rows = [(i, total[i].tobytes()) for i in range(count)] + ([(-1, loss.tobytes())] if root else [])
-        yield _packed(rows)
-
-    def written(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rows with their margins brought up to date."""
-        for batch in batches:
-            rows = _rows_of(batch, self.kind).copy()
-            rows["margin"] = self.margins(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in rows], pa.binary())], names=["row"])
-
-
-def _packed(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    slots, data = [r[0] for r in rows], [r[1] for r in rows]
-    return pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(data, pa.binary())], names=["slot", "data"])
-
-
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per slot: the sum of its histograms."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for slot, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            own = np.frombuffer(data, np.int64)
-            sums[slot] = sums[slot] + own if slot in sums else own
-    yield _packed([(s, v.tobytes()) for s, v in sums.items()])
-
-
-_SLOTS = T.StructType([T.StructField("slot", T.IntegerType()), T.StructField("data", T.BinaryType())])
+        widths = self.layout.widths[self.features]
+        totals = [np.zeros((3, count * w), np.int64) for w in widths]
+        loss, seen = np.zeros(2, np.int64), False
+        for b in blocks:
+            if b.held:
+                weight = np.where(b.label == 1, self.heavier, 1.0)
+                each = weight * np.logaddexp(0, np.where(b.label == 1, -b.margin, b.margin))
+                # Rounded row by row, so the loss does not depend on partitioning either.
+                loss += [int(np.rint(each * _UNIT).sum()), int(np.rint(weight * _UNIT).sum())]
+                continue
+            rows = np.arange(len(b.margin)) if b.drawn is None else np.flatnonzero(b.drawn)
+            if root:
+                slot = np.zeros(1, np.int64)
+                whole = b.drawn is None
+            else:
+                found = [(self.slots[leaf], own) for leaf, own in b.leaves(self.routing, rows, self.slots >= 0)]
+                if not found:
+                    continue
+                slot, whole = np.repeat([s for s, _ in found], [len(own) for _, own in found]), False
+                rows = np.concatenate([own for _, own in found])
+            if not len(rows):
+                continue
+            seen = True
+            g, h = (x.take(rows).astype(float) for x in (b.g, b.h))
+            for j, width, total in zip(self.features, widths, totals):
+                bins = b.bins[j] if whole else b.bins[j].take(rows)
+                cells = slot * width + bins
+                total[0] += np.bincount(cells, minlength=total.shape[1])
+                # Whole numbers far below 2**53, so these sums are exact.
+                total[1] += np.bincount(cells, g, total.shape[1]).astype(np.int64)
+                total[2] += np.bincount(cells, h, total.shape[1]).astype(np.int64)
+        if root and loss[1]:
+            yield -1, loss
+        if seen:
+            for i in range(count):
+                yield i, np.concatenate([t[:, i * w : (i + 1) * w] for t, w in zip(totals, widths)], axis=1)
+
+    def whole(self, sums: np.ndarray) -> np.ndarray:
+        """A histogram over all features, empty where nothing was counted, as (bins, 3)."""
+        out = np.zeros((self.layout.total, 3), np.int64)
+        out[np.isin(self.layout.feature, self.features)] = sums.T
+        return out
 
 
-def _summed(rows: DataFrame, single: bool, work: _Pass) -> dict[int, np.ndarray]:
-    parts = rows.mapInArrow(work.histograms, _SLOTS)
-    if not single:
-        parts = parts.repartition("slot").mapInArrow(_added, _SLOTS)
-    return {r.slot: np.frombuffer(bytes(r.data), np.int64) for r in parts.collect()}
+def _summed(blocks: RDD, work: _Pass) -> dict[int, np.ndarray]:
+    parts, found = blocks.mapPartitions(work), {}
+    slots = 1 if work.slots is None else int(work.slots.max()) + 1
+    if blocks.getNumPartitions() * slots > _COLLECTED:
+        parts = parts.reduceByKey(np.add, min(slots, blocks.getNumPartitions()))
+    for slot, sums in parts.collect():
+        found[slot] = found[slot] + sums if slot in found else sums
+    return found
 
 
 @dataclass
@@ -582,28 +610,54 @@ def train_leafwise(
     heavier = neg / pos if class_weighted else 1.0
     start = float(np.log(pos * heavier / neg))
 
-    kind = _row_type(len(binning.features))
+    spark = rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(min(max((neg + pos) // (4 * cores), _LEAST_ROWS), _BATCH))
+    narrow = np.uint8 if binning.widths.max() <= 256 else np.uint16
 
-    @F.pandas_udf("binary")
-    def cells(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for key, label, held, *columns in batches:
-            out = np.zeros(len(key), kind)
-            out["key"], out["label"], out["held"], out["margin"] = key, label, held, start
-            out["weight"] = np.where(out["label"] == 1, heavier, 1.0)
-            out["bins"] = binning.codes(*columns)
-            yield pd.Series([r.tobytes() for r in out], dtype=object)
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, label, held, *columns = (c.to_pandas() for c in batch.columns)
+            bins = binning.codes(*columns).astype(narrow)
+            out = []
+            for side in (False, True):
+                own = held.to_numpy(bool) == side
+                if own.any():
+                    keys, labels = key.to_numpy(np.int64)[own], label.to_numpy(float)[own]
+                    block = Block(np.ascontiguousarray(bins[own].T), keys, labels, np.full(len(keys), start), side)
+                    out.append(pickle.dumps(block, pickle.HIGHEST_PROTOCOL))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["block"])
 
     key = F.xxhash64(*binning.features, "label")
-    table = marked.select(cells(key, F.col("label").cast("double"), "held", *binning.inputs()).alias("row"))
-    with arrow_rows(rows.sparkSession, _BATCH):
-        binned = materialise(table, "binned")
-        # Small tables in few tasks: a pass costs more in tasks and shuffled histograms than in rows.
-        binned = binned.coalesce(-(-(neg + pos) // _TASK_ROWS))
-        return _boost(binned, binning, growth, p, start, patience, validation is not None)
+    inputs = [c.alias(f"c{i}") for i, c in enumerate(binning.inputs())]
+    table = marked.select(key.alias("key"), F.col("label").cast("double").alias("label"), "held", *inputs)
+    with arrow_rows(spark, size):
+        binned = materialise(table.mapInArrow(cells, "block binary"), "binned")
+    blocks = binned.rdd.map(lambda r: pickle.loads(r.block))
+    # Blocks are dealt one by one: a task per core, more only where a task would hold too many rows.
+    tasks = -(-max(1, -(-(neg + pos) // _TASK_ROWS)) // cores) * cores
+    numbered = blocks.zipWithIndex().map(lambda b: (b[1], b[0]))
+    blocks = numbered.partitionBy(min(tasks, -(-(neg + pos) // size)), int).values()
+    return _boost(spark, blocks, binning, growth, p, start, heavier, patience, validation is not None)
+
+
+def _snapshot(spark: SparkSession, blocks: RDD) -> RDD:
+    """The blocks as files of the shared folder, a partition each: cuts lineage, survives lost executors."""
+    path = work_path(spark, "margins")
+    blocks.saveAsPickleFile(path, 1)
+    return spark.sparkContext.pickleFile(path, blocks.getNumPartitions())
 
 
 def _boost(
-    table: DataFrame, binning: Binning, growth: Growth, p: Mapping[str, Any], start: float, patience: int, validated: bool
+    spark: SparkSession,
+    table: RDD,
+    binning: Binning,
+    growth: Growth,
+    p: Mapping[str, Any],
+    start: float,
+    heavier: float,
+    patience: int,
+    validated: bool,
 ) -> LeafwiseModel:
     layout = _Layout(binning.widths, len(binning.texts))
     share, columns = float(p["subsample"]), float(p["colsample_bytree"])
@@ -612,49 +666,59 @@ def _boost(
     trees: list[Tree] = []
     gains: list[dict[int, float]] = []
     losses: list[float] = []
-    done: list[Tree] = []
-    rows = table.persist(StorageLevel.MEMORY_AND_DISK)
-    parts = rows.rdd.getNumPartitions()
+    # Blocks as written, and with the gradients for the current tree.
+    written, rows = table, None
 
-    def passed(**more: Any) -> dict[int, np.ndarray]:
-        return _summed(rows, parts == 1, _Pass(layout, done, len(trees), share, **more))
+    def passed(features: np.ndarray, **more: Any) -> dict[int, np.ndarray]:
+        work = _Pass(layout, features, heavier, **more)
+        return {s: x if s < 0 else work.whole(x) for s, x in _summed(rows, work).items()}
 
     def measure(found: Mapping[int, np.ndarray]) -> None:
         if validated:
-            loss, weight = found[-1]
+            loss, weight = found.get(-1, (0, 0))
             losses.append(float(loss) / float(weight) if weight else 0.0)
 
+    def advance(features: np.ndarray) -> dict[int, np.ndarray]:
+        """The first pass of a tree, in the job that brings the blocks up to date."""
+        nonlocal rows
+        before = rows
+        step = _Step(trees[-1] if trees else None, len(trees), share, heavier)
+        rows = (written if before is None else before).mapPartitions(step)
+        if trees and len(trees) % SNAPSHOT == 0:
+            rows = _snapshot(spark, rows)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        found = passed(features)
+        if before is not None:
+            before.unpersist()
+        return found
+
     try:
         while len(trees) < int(p["n_estimators"]):
-            found = passed()
+            used = np.zeros(len(names), bool)
+            used[source.choice(len(names), max(1, round(columns * len(names))), replace=False)] = True
+            # The first feature also gives the sums of a node.
+            features = np.flatnonzero(used | (np.arange(len(names)) == 0))
+            found = advance(features)
             measure(found)
             # losses[k] is the loss of k trees.
             if validated and len(losses) - 1 - int(np.argmin(losses)) >= patience:
                 break
-            used = np.zeros(len(names), bool)
-            used[source.choice(len(names), max(1, round(columns * len(names))), replace=False)] = True
             tree = _Growing(growth, layout, used)
-            tree.add(found[0].reshape(-1, 3), 0)
+            tree.add(found.get(0, np.zeros((layout.total, 3), np.int64)), 0)
             while True:
                 _, unknown = tree.order()
                 if not unknown:
                     break
                 routing, slots, counted = tree.routes(unknown)
-                hists = {s: h.reshape(-1, 3) for s, h in passed(routing=routing, slots=slots).items()}
-                tree.open(counted, hists)
+                tree.open(counted, passed(features, routing=routing, slots=slots))
             grown, gain = tree.finished()
             trees.append(grown)
             gains.append(gain)
-            done.append(grown)
-            if len(done) == SNAPSHOT:
-                fresh = rows.mapInArrow(_Pass(layout, done, 0, 1.0).written, table.schema)
-                fresh = materialise(fresh, "margins").coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
-                rows.unpersist()
-                rows, done = fresh, []
         if validated and len(losses) == len(trees):
-            measure(passed())
+            measure(advance(np.zeros(1, np.int64)))
     finally:
-        rows.unpersist()
+        if rows is not None:
+            rows.unpersist()
     best = int(np.argmin(losses)) if validated else len(trees)
     trees, gains = trees[:best], gains[:best]
     by_name: dict[str, float] = {}

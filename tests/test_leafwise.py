@@ -145,3 +145,22 @@ def test_saved_models_score_and_explain_alike(spark, rows, tmp_path):
         train(rows, {"trees": 3})
     with pytest.raises(ValueError, match="both classes"):
         train(rows.where("label = 1"))
+
+
+def test_losses_and_routes_do_not_depend_on_how_rows_are_dealt(rows, monkeypatch):
+    known, held = rows.where("loan_id % 3 > 0"), rows.where("loan_id % 3 = 0")
+    one = train(known, validation=held)
+    monkeypatch.setattr(leafwise, "_LEAST_ROWS", 64)
+    monkeypatch.setattr(leafwise, "_TASK_ROWS", 100)
+    monkeypatch.setattr(leafwise, "_COLLECTED", 0)
+    many = train(known.repartition(9), validation=held.repartition(4))
+    assert one.losses == many.losses and list(one.node_rows()) == list(many.node_rows())
+    data = held.toPandas()
+    bins = one.binning.codes(*[data[c] for c in TEXTS + NUMBERS])
+    none = np.zeros(0)
+    block = leafwise.Block(np.ascontiguousarray(bins.T), none, none, none, True)
+    for tree in one.trees:
+        at = tree.leaves(bins)
+        wanted = (tree.left == np.arange(len(tree.left))) & (np.arange(len(tree.left)) % 2 == 0)
+        got = {i: sorted(own.tolist()) for i, own in block.leaves(tree, np.arange(len(at)), wanted) if len(own)}
+        assert got == {i: np.flatnonzero(at == i).tolist() for i in set(at.tolist()) if wanted[i]}
