@@ -10,13 +10,17 @@ The integrand has degree m - 1 for m features on the path, so Gauss-Legendre qua
 exact. One walk over a tree carries P at these points down, for a whole batch of rows at once, and brings the sums of v P
 over the leaves below back up; every edge then adds its share. So work grows with nodes, not with leaves times depth.
 
+A tree is cut into subtrees that, with the path to them, have at most `PATTERN_BITS` inner nodes. What their leaves contribute
+depends only on which side a row takes at these nodes, so the walk is done once per pattern of sides, and a row looks its
+pattern up. A tree with a longer path is walked with the rows themselves.
+
 Rows stay in their partitions. Trees are packed into arrays by tasks, one tree each; a pack is sent to every worker once.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,9 +35,27 @@ from lendframe.schema import ID
 from lendframe.session import work_path
 
 CHUNK_ROWS = 4_096
+PATTERN_BITS = 9
 _LEAST_SHARE = 1e-12  # stands for a child no training row reached
 
 
+def _by_code(codes: Sequence[float]) -> np.ndarray:
+    """Whether each code is listed, up to the one after the last."""
+    places = np.array(codes, np.int64)
+    out = np.zeros(int(places.max(initial=-1)) + 2, bool)
+    out[places] = True
+    return out
+
+
+@dataclass
+class _Group:
+    """Contributions of a subtree's leaves by pattern: bit k says whether a row goes left at `nodes[k]`."""
+
+    nodes: list[int]
+    features: list[int]
+    table: np.ndarray  # (features, patterns)
+
+
 @dataclass
 class PackedTree:
     """Node arrays, root first; children come after their parents, a leaf has feature -1."""
@@ -46,10 +68,20 @@ class PackedTree:
     cut: np.ndarray  # of a number: values up to it go left
     codes: list[np.ndarray | None]  # of a category: the codes that go left
 
+    def __post_init__(self) -> None:
+        self._listed = [None if c is None else _by_code(c) for c in self.codes]
+        self._groups: list[_Group] | None = None
+
     def goes_left(self, node: int, x: np.ndarray) -> np.ndarray:
         v = x[:, self.feature[node]]
-        codes = self.codes[node]
-        return v <= self.cut[node] if codes is None else np.isin(v, codes)
+        listed = self._listed[node]
+        return v <= self.cut[node] if listed is None else listed.take(v.astype(np.int64), mode="clip")
+
+    def groups(self) -> "list[_Group]":
+        """The subtrees with their patterns, made on first use; none where a path is too long."""
+        if self._groups is None:
+            self._groups = _grouped(self)
+        return self._groups
 
     def points(self) -> tuple[np.ndarray, np.ndarray]:
         """Quadrature points and weights on [0, 1] for the most features any path has."""
@@ -63,6 +95,13 @@ class PackedTree:
         t, w = np.polynomial.legendre.leggauss((most + 1) // 2)
         return (t + 1) / 2, w / 2
 
+    def depth(self) -> int:
+        """Inner nodes on the longest path."""
+        level = np.zeros(len(self.feature), int)
+        for i in np.flatnonzero(self.feature >= 0):
+            level[[self.left[i], self.right[i]]] = level[i] + 1
+        return int(level.max())
+
     def base(self) -> float:
         """The mean over training rows."""
         reach = np.ones(len(self.feature))
@@ -74,8 +113,50 @@ class PackedTree:
 
 def add_contributions(tree: PackedTree, x: np.ndarray, out: np.ndarray) -> None:
     """Add the contributions of one tree to `out` (rows, features)."""
+    sides: dict[int, np.ndarray] = {}
+    for group in tree.groups():
+        pattern = np.zeros(len(x), np.uint16)
+        for k, i in enumerate(group.nodes):
+            if i not in sides:
+                sides[i] = tree.goes_left(i, x).astype(np.uint16)
+            pattern |= sides[i] << np.uint16(k)
+        for f, values in zip(group.features, group.table):
+            out[:, f] += values.take(pattern)
+    if not tree.groups():
+        _walked(tree, len(x), lambda i: tree.goes_left(i, x), out)
+
+
+def _grouped(tree: PackedTree) -> list[_Group]:
+    found: list[_Group] = []
+
+    def inner(i: int) -> list[int]:
+        return [] if tree.feature[i] < 0 else [i, *inner(int(tree.left[i])), *inner(int(tree.right[i]))]
+
+    def cut(i: int, path: dict[int, int]) -> bool:
+        """Whether all leaves below are in groups."""
+        below = inner(i)
+        if len(path) + len(below) > PATTERN_BITS:
+            return bool(below) and all(cut(int(c), {**path, i: int(c)}) for c in (tree.left[i], tree.right[i]))
+        nodes = [*path, *below]
+        patterns = np.arange(1 << len(nodes))
+        bit = {i: (patterns >> k & 1).astype(bool) for k, i in enumerate(nodes)}
+        out = np.zeros((len(patterns), int(tree.feature.max()) + 1))
+        _walked(tree, len(patterns), bit.__getitem__, out, path)
+        features = sorted({int(tree.feature[i]) for i in nodes})
+        found.append(_Group(nodes, features, np.ascontiguousarray(out[:, features].T)))
+        return True
+
+    # A path is as deep as the tree, which may be too deep to recurse when it is not grouped anyway.
+    return found if tree.depth() <= PATTERN_BITS and cut(0, {}) else []
+
+
+def _walked(
+    tree: PackedTree, n: int, goes_left: Callable[[int], np.ndarray], out: np.ndarray, path: Mapping[int, int] | None = None
+) -> None:
+    """Add the contributions of the leaves below `path`, which names the child to enter at its nodes, for n rows."""
     t, w = tree.points()
-    everyone = np.ones(len(x), bool)
+    everyone = np.ones(n, bool)
+    path = path or {}
 
     def factors(z: float) -> np.ndarray:
         """t o + (1 - t) z at every point, for o = 0 and 1."""
@@ -88,9 +169,11 @@ def add_contributions(tree: PackedTree, x: np.ndarray, out: np.ndarray) -> None:
         known = f in met
         o_old, z_old = met.get(f, (everyone, 1.0))
         old = factors(z_old) if known else np.ones((2, len(t)))
-        left = tree.goes_left(i, x)
+        left = goes_left(i)
         total: np.ndarray | float = 0.0
         for c, side in ((int(tree.left[i]), left), (int(tree.right[i]), ~left)):
+            if path.get(i, c) != c:
+                continue
             o, z = o_old & side, z_old * max(float(tree.share[c]), _LEAST_SHARE)
             new = factors(z)
             # Rows that met the conditions so far and still do, no longer do, or never did.
@@ -105,15 +188,19 @@ def add_contributions(tree: PackedTree, x: np.ndarray, out: np.ndarray) -> None:
             total = total + below
         return total
 
-    walk(0, np.ones((len(x), len(t))), {})
+    walk(0, np.ones((n, len(t))), {})
 
 
 def contributions(x: np.ndarray, trees: list[PackedTree], width: int) -> np.ndarray:
     """(rows, features) contributions for a batch of feature vectors."""
     out = np.zeros((len(x), width))
     for start in range(0, len(x), CHUNK_ROWS):
+        # A feature's values, and its contributions, in one piece.
+        own = np.asfortranarray(x[start : start + CHUNK_ROWS])
+        total = np.zeros(own.shape[:1] + (width,), order="F")
         for tree in trees:
-            add_contributions(tree, x[start : start + CHUNK_ROWS], out[start : start + CHUNK_ROWS])
+            add_contributions(tree, own, total)
+        out[start : start + CHUNK_ROWS] = total
     return out
 
 

@@ -233,3 +233,29 @@ def test_registry_stages_loading_and_runs(spark, model, prepared, tmp_path):
     ):
         with pytest.raises(ValueError):
             wrong()
+
+
+def test_patterns_of_sides_give_what_the_walk_gives(monkeypatch):
+    source = np.random.default_rng(5)
+    n = 31
+    inner = np.arange(n) < 15
+    left, right = (np.where(inner, 2 * np.arange(n) + k, 0) for k in (1, 2))
+    feature = np.where(inner, source.integers(0, 4, n), -1)
+    share = np.ones(n)
+    share[1::2] = source.uniform(0.1, 0.9, n // 2)
+    share[2::2] = 1 - share[1::2]
+    codes = [np.flatnonzero(source.random(9) < 0.5) if i % 2 else None for i in range(n)]
+    made = lambda: explain.PackedTree(feature, left, right, source.normal(size=n), share, source.uniform(0, 8, n), codes)
+    trees = [made(), made()]
+    x = source.integers(0, 10, (500, 4)).astype(float)
+    found = explain.contributions(x, trees, 4)
+    assert all(len(t.groups()) > 1 for t in trees)
+    walked = np.zeros((500, 4))
+    for tree in trees:
+        explain._walked(tree, len(x), lambda i, tree=tree: tree.goes_left(i, x), walked)
+        for i in np.flatnonzero(inner & (np.arange(n) % 2 == 1)):
+            assert np.array_equal(tree.goes_left(i, x), np.isin(x[:, feature[i]], codes[i]))
+    assert np.allclose(found, walked, atol=1e-12)
+    monkeypatch.setattr(explain, "PATTERN_BITS", 2)
+    assert np.allclose(explain.contributions(x, [explain.PackedTree(*(getattr(t, f) for f in (
+        "feature", "left", "right", "value", "share", "cut", "codes"))) for t in trees], 4), walked, atol=1e-12)
