@@ -43,6 +43,18 @@ def test_held_out_rows_are_scored_once_per_trial(prepared, monkeypatch):
     assert len(hists) == 1 and hists[0].inputFiles()
 
 
+@pytest.mark.parametrize("profile", ["gbt", "gbt_coded"])
+def test_marked_rows_train_as_two_tables_do(prepared, monkeypatch, profile):
+    encoded = seen(monkeypatch, train, "encode_rows")
+    model, found = train.train_and_evaluate(prepared, profile, TINY)
+    assert "Union" not in encoded[0]._jdf.queryExecution().optimizedPlan().toString()
+    rows = train.labelled(prepared).withColumn("split", train.split_column())
+    parts = [rows.filter(f"split = '{s}'").drop("split") for s in ("train", "test")]
+    apart = train.fit(parts[0], profile, TINY, parts[1])
+    assert model.trees.toDebugString.split("\n")[1:] == apart.trees.toDebugString.split("\n")[1:]
+    assert sorted(r["split"] for r in found.collect()) == ["test", "train"]
+
+
 @pytest.mark.parametrize("rows, most", [(10, 4), (60, 2), (1000, 2)])
 def test_large_fits_take_turns(monkeypatch, rows, most):
     monkeypatch.setattr(train, "FIT_ROWS", 100)
