@@ -5,7 +5,7 @@ import pytest
 
 from lendframe.operators import metrics, search, train
 from lendframe.operators.prepare import PreparationEstimator
-from lendframe.plans import all_queries
+from lendframe.plans import all_queries, preparation
 
 TINY = {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.3, "subsample": 1.0, "colsample_bytree": 1.0}
 
@@ -80,3 +80,8 @@ def test_large_fits_take_turns(monkeypatch, rows, most):
 def test_scores_read_the_written_prepared_loans(spark, sf_dir):
     files = all_queries.QUERIES["score_loans"](spark, sf_dir).inputFiles()
     assert files and all("/prepared-" in f for f in files)
+
+
+def test_preparation_is_learned_once_per_folder(spark, sf_dir):
+    whole, requests = preparation.fitted(spark, sf_dir), preparation.fitted(spark, sf_dir, include_target=False)
+    assert requests.groups is whole.groups and whole.include_target and not requests.include_target
