@@ -36,7 +36,7 @@ from lendframe.operators.encode import fitted_labels, vocabulary
 from lendframe.operators.ranking import number
 from lendframe.operators.split import class_weights
 from lendframe.schema import CATEGORICAL, NUMERIC
-from lendframe.session import arrow_rows, materialise, work_path
+from lendframe.session import arrow_rows, materialise, shared_dir
 
 # Default parameters of the two boosted profiles, by their usual names.
 LEAFWISE: dict[str, Any] = {
@@ -641,11 +641,16 @@ def train_leafwise(
     return _boost(spark, blocks, binning, growth, p, start, heavier, patience, validation is not None)
 
 
-def _snapshot(spark: SparkSession, blocks: RDD) -> RDD:
-    """The blocks as files of the shared folder, a partition each: cuts lineage, survives lost executors."""
-    path = work_path(spark, "margins")
-    blocks.saveAsPickleFile(path, 1)
-    return spark.sparkContext.pickleFile(path, blocks.getNumPartitions())
+def _snapshot(spark: SparkSession, blocks: RDD) -> None:
+    """Have the blocks written to the shared folder by the next job: cuts lineage, survives lost executors.
+
+    A checkpoint has a partition per file. Reading written files anew cuts those above the average size in two, so
+    every snapshot would have more partitions than the one before.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(spark))
+    blocks.checkpoint()
 
 
 def _boost(
@@ -683,10 +688,9 @@ def _boost(
         nonlocal rows
         before = rows
         step = _Step(trees[-1] if trees else None, len(trees), share, heavier)
-        rows = (written if before is None else before).mapPartitions(step)
+        rows = (written if before is None else before).mapPartitions(step).persist(StorageLevel.MEMORY_AND_DISK)
         if trees and len(trees) % SNAPSHOT == 0:
-            rows = _snapshot(spark, rows)
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            _snapshot(spark, rows)
         found = passed(features)
         if before is not None:
             before.unpersist()

@@ -164,3 +164,23 @@ def test_losses_and_routes_do_not_depend_on_how_rows_are_dealt(rows, monkeypatch
         wanted = (tree.left == np.arange(len(tree.left))) & (np.arange(len(tree.left)) % 2 == 0)
         got = {i: sorted(own.tolist()) for i, own in block.leaves(tree, np.arange(len(at)), wanted) if len(own)}
         assert got == {i: np.flatnonzero(at == i).tolist() for i in set(at.tolist()) if wanted[i]}
+
+
+def test_snapshots_leave_the_number_of_tasks_alone(spark, monkeypatch):
+    """Each snapshot read back in more partitions than it was written from, so passes got slower and slower."""
+    numbers = [F.rand(k).alias(c) for k, c in enumerate(NUMBERS)]
+    rows = spark.range(30_000, numPartitions=3).select(*numbers).withColumn("label", (F.col("a") > F.col("b")).cast("double"))
+    grow = lambda: leafwise.train_leafwise(rows, {**PARAMS, "n_estimators": 4}, texts=[], numbers=NUMBERS)
+    plain, parts, real = grow(), [], leafwise._summed
+    monkeypatch.setattr(leafwise, "SNAPSHOT", 1)
+
+    def spy(blocks, work):
+        found = real(blocks, work)
+        parts.append((blocks.getNumPartitions(), work.routing is None and blocks.isCheckpointed()))
+        return found
+
+    monkeypatch.setattr(leafwise, "_summed", spy)
+    often = grow()
+    assert list(often.node_rows()) == list(plain.node_rows())
+    assert len({n for n, _ in parts}) == 1
+    assert sum(written for _, written in parts) == 3
