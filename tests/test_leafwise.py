@@ -1,5 +1,8 @@
 """Leaf-wise boosting against plain Python on the same bins."""
 
+import threading
+from types import SimpleNamespace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,6 +10,8 @@ from pyspark.sql import functions as F
 
 from lendframe.operators import explain, leafwise, score
 from lendframe.operators.leafwise import CATEGORY_SMOOTHING, MIN_HESSIAN
+from lendframe.plans import modelling
+from lendframe.session import arrow_rows
 
 TEXTS, NUMBERS = ["shade", "place"], ["a", "b", "c"]
 PARAMS = {"n_estimators": 3, "num_leaves": 9, "max_depth": 6, "min_child_samples": 7, "subsample": 1.0, "colsample_bytree": 1.0}
@@ -184,3 +189,39 @@ def test_snapshots_leave_the_number_of_tasks_alone(spark, monkeypatch):
     assert list(often.node_rows()) == list(plain.node_rows())
     assert len({n for n, _ in parts}) == 1
     assert sum(written for _, written in parts) == 3
+
+
+def test_both_profiles_train_at_the_same_time(spark, monkeypatch):
+    together = threading.Barrier(2, timeout=20)
+
+    def boosted(session, folder, best_first):
+        together.wait()
+        losses = [0.7 - k / 1000 for k in range(modelling.LEAFWISE["n_estimators"] + 1 if best_first else 10)]
+        losses += [] if best_first else [0.9] * modelling.STOP_AFTER
+        kept = [None] * losses.index(min(losses))
+        found = ({"split": s} for s in ("train", "validation", "test"))
+        return SimpleNamespace(losses=losses, trees=kept, profile="leafwise" if best_first else "depthwise"), tuple(found)
+
+    monkeypatch.setattr(modelling, "_boosted", boosted)
+    monkeypatch.setattr(modelling, "stored", lambda session, folder: None)
+    rows = [tuple(r) for r in modelling.booster_invariants(spark, "none").collect()]
+    assert rows == [("leafwise", True, True, True, True), ("depthwise", True, True, True, True)]
+
+
+def test_rows_handed_to_python_are_set_by_one_thread_at_a_time(spark):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, inside, begun = spark.conf.get(name), threading.Event(), threading.Event()
+
+    def other():
+        begun.set()
+        with arrow_rows(spark, 7):
+            inside.set()
+            seen.append(spark.conf.get(name))
+
+    thread = threading.Thread(target=other)
+    with arrow_rows(spark, 5):
+        thread.start()
+        begun.wait(10)
+        assert not inside.wait(0.5) and spark.conf.get(name) == "5"
+    thread.join(20)
+    assert seen == ["7"] and spark.conf.get(name) == before
